@@ -11,6 +11,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from ..session import digest, partitions
 from . import unicode_tables as tables
@@ -18,7 +19,7 @@ from . import unicode_tables as tables
 _ROW = "cp int, out array<struct<c: string, ccc: int, look: string, kind: int, second: boolean>>"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _recompose(letters: pd.Series) -> pd.Series:
     """A sequential fold (each composition changes what the next mark is tried on), so it runs in
     Python, on the words that hold a composable mark only."""

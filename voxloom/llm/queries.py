@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import one_form
+from . import cross_split, near_dup, one_form, term_counts
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -22,6 +23,34 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return one_form.fields_in_one_form(_table(spark, d, "dataset_audit")).select("record_no", "loaded_at", "field", "form")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    pairs = cross_split.cross_split_pairs(_table(spark, d, "dataset_audit"))
+    return pairs.select(F.least("train_record", "evaluation_record").alias("record_a"), F.greatest("train_record", "evaluation_record").alias("record_b"))
+
+
+def p2_counts(spark: SparkSession, d: str) -> DataFrame:
+    """The overlaps' numbers per evaluation split and source."""
+    return cross_split.overlap_counts(_table(spark, d, "dataset_audit"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return term_counts.term_counts(_table(spark, d, "dataset_audit")).filter("mark is not null").select("term", "mark")
+
+
+def p3_terms(spark: SparkSession, d: str) -> DataFrame:
+    """Every term with its occurrences, records and mark."""
+    return term_counts.term_counts(_table(spark, d, "dataset_audit"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return near_dup.near_pairs(_table(spark, d, "dataset_audit"))
+
+
+def p5_groups(spark: SparkSession, d: str) -> DataFrame:
+    """Every full record with its group of near-duplicates and its number of links."""
+    return near_dup.near_groups(_table(spark, d, "dataset_audit"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 
