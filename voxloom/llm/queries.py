@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import cross_split, near_dup, one_form, term_counts
+from . import bpe, cross_split, group_split, near_dup, one_form, segmenting, term_counts
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -42,6 +42,20 @@ def p3_terms(spark: SparkSession, d: str) -> DataFrame:
     return term_counts.term_counts(_table(spark, d, "dataset_audit"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return group_split.leaking_records(_table(spark, d, "dataset_audit"))
+
+
+def p4_split(spark: SparkSession, d: str) -> DataFrame:
+    """Every record with its component and its new split."""
+    return group_split.grouped_split(_table(spark, d, "dataset_audit"))
+
+
+def p4_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The new splits' records and shares per source."""
+    return group_split.split_shares(p4_split(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_pairs(_table(spark, d, "dataset_audit"))
 
@@ -51,6 +65,26 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_groups(_table(spark, d, "dataset_audit"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return segmenting.uncovered_stretches(segmenting.long_recordings(_table(spark, d, "dataset_audit"), _table(spark, d, "decision_manifest_reviewed")))
+
+
+def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """Every long recording in pieces of at most 40 s."""
+    return segmenting.pieces(_table(spark, d, "dataset_audit"), _table(spark, d, "decision_manifest_reviewed"))
+
+
+def p7_ids(spark: SparkSession, d: str) -> DataFrame:
+    return bpe.encoded(_table(spark, d, "documents"))
+
+
+def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
+    """Every document's text decoded from its ids, and whether it is the text encoded."""
+    documents = _table(spark, d, "documents").select("doc_id", "text")
+    back = bpe.decoded(bpe.encoded(documents)).withColumnRenamed("text", "decoded")
+    return documents.join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 
