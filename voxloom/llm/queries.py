@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, cross_split, group_split, near_dup, one_form, segmenting, term_counts
+from . import bpe, cross_split, group_split, mixing, near_dup, one_form, segmenting, sentences, term_counts
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -85,6 +85,25 @@ def p7_round_trip(spark: SparkSession, d: str) -> DataFrame:
     return documents.join(back, "doc_id").select("doc_id", (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("same"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The documents of each mix and how often each is used."""
+    return mixing.mixture(_table(spark, d, "documents"), _table(spark, d, "mixture_targets"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    """The shares reached, beside the targets."""
+    return mixing.reached_shares(p8_mix(spark, d), _table(spark, d, "mixture_targets"))
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return sentences.sentence_spans(_table(spark, d, "documents"))
+
+
+def p9_sentences(spark: SparkSession, d: str) -> DataFrame:
+    """The sentences themselves, numbered."""
+    return sentences.sentence_rows(_table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 
