@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from . import audit_queries, run_queries, text_queries  # noqa: F401  they register themselves
+from .registry import query
+
 
 def queries():
-    return {}
+    return dict(query.queries)
 
 
 def oracle_sql():
-    return {}
+    return dict(query.sql)
