@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from ..session import digest, partitions
+from ..session import digest, materialize, partitions
 from . import unicode_tables as tables
 
 _ROW = "cp int, out array<struct<c: string, ccc: int, look: string, kind: int, second: boolean>>"
@@ -120,6 +120,7 @@ def equal_looking_pairs(audit: DataFrame, least_words: int = 10) -> DataFrame:
     records = keys.groupBy("record_no").agg(latest("text_raw"), latest("text_normalized"), full_of.alias("full")).filter("full")
     two = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("key")) for c in ("text_raw", "text_normalized")]))
     rows = records.select("record_no", two.alias("x")).filter("x.key is not null").select("record_no", "x.field", "x.key.*")
+    rows = materialize(rows, "form-keys")  # read by three branches below
     forms = (
         rows.groupBy("field", "f1", "f2")
         .agg(F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi"))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, cross_split, group_split, mixing, near_dup, one_form, segmenting, sentences, term_counts
+from . import unicode_tables as tables
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -108,5 +109,57 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 
 
+# --- the same in SQL, over whole tables. Letters with a mark of their own that look like Latin ones would need
+# decomposition, which the SQL engine lacks; all else of the one form is here.
+
+_LOOKS, _LATIN = "".join(tables.LOOK_ALIKES), "".join(tables.LOOK_ALIKES.values())
+_MARKS = tables.APOSTROPHES.replace("'", "")
+_FROM = _MARKS + group_split._WIDE.replace("\uff07", "").replace("\uff40", "")
+_TO = "'" * len(_MARKS) + group_split._PLAIN.replace("'", "").replace("`", "")
+_quoted = lambda x: "'" + x.replace("'", "''") + "'"
+_INVISIBLE = r"[\p{Cf}\x{34F}\x{FE00}-\x{FE0F}\x{180B}-\x{180F}]"
+
+
+def _form_sql(x: str) -> str:
+    plain = f"trim(regexp_replace(regexp_replace({x}, '{_INVISIBLE}', '', 'g'), '[\\s\\p{{Z}}]+', ' ', 'g'))"
+    plain = f"replace(replace(translate({plain}, {_quoted(_FROM)}, {_quoted(_TO)}), 'ﬁ', 'fi'), 'ﬂ', 'fl')"
+    mixed = f"regexp_matches(w, '\\p{{Latin}}') and not regexp_matches(regexp_replace(w, '[{_LOOKS}]|\\p{{Latin}}', '', 'g'), '\\p{{L}}')"
+    return f"array_to_string(list_transform(string_split({plain}, ' '), lambda w: nfc_normalize(case when {mixed} then translate(w, '{_LOOKS}', '{_LATIN}') else w end)), ' ')"
+
+
+_WORDS = "list_filter(string_split(f, ' '), lambda w: w <> '')"
+_RECORDS = f"""r as (select record_no, any_value(source) as source, any_value(split) as split, any_value(text_raw) as raw, any_value(text_normalized) as norm, {_form_sql("coalesce(any_value(text_normalized), '')")} as f
+    from dataset_audit group by 1), full_r as (select *, list_distinct({_WORDS}) as ws from r where len(list_distinct({_WORDS})) >= 10)"""
+_NEAR = f"""with {_RECORDS}, w as (select record_no, len(ws) as n, unnest(ws) as word from full_r), s as (select a.record_no as a, b.record_no as b, any_value(a.n) as n, any_value(b.n) as m, count(*) as k
+    from w a join w b on a.word = b.word and a.record_no < b.record_no group by 1, 2), near as (select x.*, y.* from (select a as record_a, b as record_b from s where k * 10 >= 6 * (n + m - k)) x
+    join (select record_no as ra, split as sa, f as fa from full_r) y on record_a = ra) select record_a, record_b from near join (select record_no as rb, split as sb, f as fb from full_r) on record_b = rb where """
+_CODE = f"""regexp_replace(case when starts_with(p, s) and s <> '' and regexp_matches(substr(p, length(s) + 1), '^([^\\p{{L}}\\p{{N}}]|$)') then substr(p, length(s) + 1) else p end, '[^\\p{{L}}\\p{{N}}]', '', 'g')"""
+_SPEAKERS = f"""with r as (select record_no, any_value(source) as source, any_value(split) as split, lower(any_value(source)) as s,
+    regexp_replace(lower(translate(any_value(speaker_id), {_quoted(group_split._WIDE)}, {_quoted(group_split._PLAIN)})), '[\\p{{Cf}}\\s\\p{{Z}}]', '', 'g') as p from dataset_audit group by 1),
+    c as (select record_no, source, split, {_CODE} as code from r where p is not null), k as (select * from c where code not in ({", ".join(map(_quoted, group_split.PLACEHOLDERS))})),
+    d as (select distinct source, code from k), w as (select a.source, a.code, max_by(b.code, length(b.code)) as speaker from d a join d b on a.source = b.source and starts_with(b.code, a.code) and (length(a.code) >= 12 or a.code = b.code) group by 1, 2),
+    m as (select k.*, speaker from k join w using (source, code))"""
+_ITEMS = """case when regexp_matches(t, '[;|]') then regexp_split_to_array(replace(t, ',', '.'), '[;|]') else regexp_split_to_array(t, '[, ]+') end"""
+_TIME = "^ *(?:(?:([0-9]+):)?([0-9]+):)?([0-9]+(?:[.][0-9]*)?) *(ms|s|sec)?[.]? *$"
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    pair = lambda field, x: f"""select '{field}' as field, a.record_no as record_a, b.record_no as record_b from (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null) a
+        join (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null) b on a.g = b.g and a.record_no < b.record_no and a.t <> b.t"""
+    terms = f"""with {_RECORDS}, t as (select record_no, unnest(string_split(lower(f), ' ')) as term from r), c as (select term, count(*) as occurrences, count(distinct record_no) as records from t where term <> '' group by 1)
+        select *, case when records = 1 then 'rare' when records > 0.1 * (select count(*) from r) then 'common' end as mark from c"""
+    return {
+        "p1_found": f"with {_RECORDS} {pair('text_raw', 'raw')} union all {pair('text_normalized', 'norm')}",
+        "p1_forms": f"""select record_no, loaded_at, 'text_raw' as field, {_form_sql('text_raw')} as form from dataset_audit union all select record_no, loaded_at, 'text_normalized', {_form_sql('text_normalized')} from dataset_audit""",
+        "p2_found": _NEAR + "(sa = 'train' and sb in ('validation', 'test')) or (sb = 'train' and sa in ('validation', 'test'))",
+        "p3_terms": terms,
+        "p3_found": f"select term, mark from ({terms}) where mark is not null",
+        "p4_found": _SPEAKERS + " select record_no from m where split in ('validation', 'test') and (source, speaker) in (select source, speaker from m where split = 'train')",
+        "p5_found": _NEAR + "fa <> fb",
+        "p6_found": f"""with a as (select source || ':' || split || ':' || row_index as review_id, any_value(duration_seconds) * 1000 as d from dataset_audit where duration_seconds > 40 group by 1),
+            m as (select review_id, lower(trim(regexp_replace(coalesce(segment_boundaries_seconds, ''), '\\s+', ' ', 'g'))) as t from decision_manifest_reviewed qualify row_number() over (partition by review_id order by reviewed_at desc) = 1),
+            i as (select review_id, unnest({_ITEMS}) as x from m), v as (select review_id, round((3600 * coalesce(try_cast(regexp_extract(x, '{_TIME}', 1) as double), 0) + 60 * coalesce(try_cast(regexp_extract(x, '{_TIME}', 2) as double), 0)
+            + try_cast(regexp_extract(x, '{_TIME}', 3) as double)) * case when regexp_extract(x, '{_TIME}', 4) = 'ms' then 1 else 1000 end)::bigint as ms from i where regexp_matches(x, '{_TIME}')),
+            e as (select review_id, 0::double as ms from a union select review_id, d from a union select review_id, ms from v join a using (review_id) where ms > 0 and ms < d),
+            g as (select review_id, ms, lead(ms) over (partition by review_id order by ms) - ms as gap from e) select review_id, ms::bigint as gap_start_ms from g where round(gap, 3) > 39000""",
+    }
