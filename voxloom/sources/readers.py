@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators.review import require_columns
 
-CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8"}
+CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "emptyValue": "", "encoding": "UTF-8", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def parquet(spark: SparkSession, folder: str, table: str) -> DataFrame:

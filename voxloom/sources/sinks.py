@@ -18,7 +18,7 @@ def csv_table(df: DataFrame, path: str, fields: list[str], single: bool = False,
     kinds = dict(df.dtypes)
     columns = [F.concat_ws("|", c).alias(c) if kinds[c].startswith("array") else F.col(c) for c in fields]
     out = df.select(*columns)
-    (out.coalesce(1) if single else out).write.mode("errorifexists").options(header="true", quote='"', escape='"', nullValue="", emptyValue="").csv(path)
+    (out.coalesce(1) if single else out).write.mode("errorifexists").options(header="true", quote='"', escape='"', nullValue="", emptyValue="", ignoreLeadingWhiteSpace="false", ignoreTrailingWhiteSpace="false").csv(path)
 
 
 def tsv_hours(weights: DataFrame, path: str, language: str) -> None:
