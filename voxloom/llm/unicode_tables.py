@@ -132,7 +132,7 @@ def patterns() -> tuple[str, str, str]:
         ch = chr(cp)
         if any(r[1] or r[4] for r in row) and len(row) == 1 and row[0][0] == ch:
             marks.add(cp)
-        elif ch != " " and ch not in "\t\n\r" and compose([r[0] for r in row]) != ch:
+        elif ch != " " and ch not in "\t\n\r" and (compose([r[0] for r in row]) != ch or any(r[2] for r in row)):
             changed.add(cp)
     firsts = {ord(a) for a, _ in pairs()} | marks | {*range(0x1100, 0x1113), *range(0xAC00, 0xD7A4, 28)}
     for cp, row in rows():  # a composed letter may take part of a later mark: what it is made of decides
@@ -146,4 +146,4 @@ def patterns() -> tuple[str, str, str]:
     rest = [c for c in firsts if c not in set(latin)]
     low = rf"[\u0300-\u036F](?:(?<=[\u0000-\u036F\u1E00-\u1EFF].)(?<=[{_ranges(latin)}].)|(?<=[\u0370-\u1DFF\u1F00-\x{{10FFFF}}].)(?<=[{_ranges(rest)}].))"
     high = rf"(?=[\u0370-\x{{10FFFF}}])[{_ranges(m for m in marks if m > 0x36F)}](?<=[{_ranges(firsts)}].)"
-    return f"[^{_ranges(plain)}]", rf"(?=[\x{{0B}}\x{{0C}}\x{{60}}\x{{80}}-\x{{10FFFF}}])[{_ranges(changed)}]", f"{low}|{high}"
+    return f"[^{_ranges(plain)}]", rf"(?=[\x{{0}}-\x{{8}}\x{{B}}\x{{C}}\x{{E}}-\x{{1F}}\x{{60}}\x{{7F}}-\x{{10FFFF}}])[{_ranges(changed)}]", f"{low}|{high}"
