@@ -16,7 +16,7 @@ def row(source, split, i, text="t", h="h"):
 
 def test_cross_split_depends_on_split_only(spark):
     for rows, want in (([row("a", "train", 0), row("b", "train", 1)], False), ([row("a", "train", 0), row("b", "test", 1)], True)):
-        g = audit.duplicate_groups(spark.createDataFrame(rows, AUDIT), "text_sha256", "text_normalized").collect()
+        g = audit.nested_groups(spark.createDataFrame(rows, AUDIT), "text_sha256", "text_normalized").collect()
         assert len(g) == 1 and g[0]["count"] == 2 and g[0].cross_split is want and [m.row_index for m in g[0].members] == [0, 1]
 
 
@@ -24,7 +24,17 @@ def test_blank_keys_form_no_group(spark):
     df = spark.createDataFrame([row("a", "train", 0, h=""), row("a", "test", 1, h=""), row("a", "test", 2, "", "x"), row("a", "test", 3, "", "x"), row("a", "t", 4, None, None)], AUDIT)
     assert audit.duplicate_groups(df, "text_sha256", "text_normalized").count() == 0
     assert audit.duplicate_members(df, "audio_sha256").count() == 2
-    assert audit.duplicate_groups(df.filter("false"), "text_sha256").count() == 0
+    assert audit.duplicate_groups(df.filter("false"), "text_sha256").count() == 0 == audit.nested_groups(df.filter("false"), "text_sha256").count()
+    with pytest.raises(Exception, match="more than 1 members"):
+        audit.nested_groups(df, "audio_sha256", most=1).collect()
+
+
+def test_positions_of_a_hot_key(spark):
+    df = spark.createDataFrame([("hot" if i % 3 else None if i % 2 else "k", i * 7919 % 1000) for i in range(1000)], "k string, i long")
+    got = audit.positions(df, ["k"], ["i"]).toPandas()
+    for _, g in got.groupby("k", dropna=False):
+        assert g.sort_values("i").position.tolist() == list(range(len(g)))
+    assert len(got) == 1000 and audit.positions(df.filter("false"), ["k"], ["i"]).count() == 0
 
 
 def flags(spark, **values):
@@ -93,7 +103,7 @@ def test_splits(spark):
 
 def test_batches_hold_the_limit(spark):
     df = spark.createDataFrame([("c", i, 30 + i % 50) for i in range(400)] + [("c", 900, 500), ("c", 901, None)], "corpus string, record_no long, audio_size long")
-    got = mixture.batches(df, ["corpus"], ["record_no"], 200, 8).toPandas()
+    got = mixture.batches(df, ["corpus"], ["record_no"], 200, 100).toPandas()
     assert len(got) == 402
     sums = got.groupby(["bucket", "batch"]).audio_size.agg(["sum", "count"])
     assert ((sums["sum"] <= 200) | (sums["count"] == 1)).all()

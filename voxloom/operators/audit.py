@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
+from ..session import materialize, partitions
 
 
 @dataclass(frozen=True)
@@ -69,29 +70,39 @@ def first_match(rules: list[tuple[Column, Column]], otherwise: Column) -> Column
     return otherwise if out is None else out.otherwise(otherwise)
 
 
+def _keyed(df: DataFrame, *present: str) -> DataFrame:
+    for c in present:
+        df = df.filter(F.trim(F.col(c)) != "")
+    return df
+
+
 def duplicate_groups(df: DataFrame, key: str, *present: str) -> DataFrame:
-    """``(sha256, count, cross_split, members)`` of values of ``key`` that several rows share.
+    """``(sha256, count, cross_split)`` of values of ``key`` that several rows share.
 
     Rows with a blank key, or a blank column of ``present``, take no part: they would form one giant group.
-    cross_split compares split names, whatever the sources. Members are in the order of their keys.
-    A group is held in one row; use :func:`duplicate_members` where groups may be huge.
+    cross_split compares split names, whatever the sources. Counts combine before the shuffle, so a value
+    in a third of all rows is no more work than another; its rows are in :func:`duplicate_members`.
     """
-    keyed = df
-    for c in (key, *present):
-        keyed = keyed.filter(F.trim(F.col(c)) != "")
-    member = F.struct("source", "split", "row_index", "example_id", "speaker_id")
-    groups = keyed.groupBy(F.col(key).alias("sha256")).agg(
-        F.count("*").alias("count"), (F.min("split") != F.max("split")).alias("cross_split"), F.sort_array(F.collect_list(member)).alias("members")
-    )
+    groups = _keyed(df, key, *present).groupBy(F.col(key).alias("sha256")).agg(F.count("*").alias("count"), (F.min("split") != F.max("split")).alias("cross_split"))
     return groups.filter("count >= 2")
 
 
+def nested_groups(df: DataFrame, key: str, *present: str, most: int = 100_000) -> DataFrame:
+    """The groups as a report holds them, with ``members``, in the order of their keys, inside each row.
+
+    A row can't be split, so a group of more than ``most`` members is an error here, found before
+    anything is gathered; :func:`duplicate_members` has no such limit.
+    """
+    counts = duplicate_groups(df, key, *present).withColumn("count", F.when(F.col("count") <= most, F.col("count")).otherwise(F.raise_error(F.lit(f"a group has more than {most} members")).cast("long")))
+    rows = _keyed(df, key, *present).withColumn("__key", F.col(key)).join(counts.withColumnRenamed("sha256", "__key"), "__key")
+    member = F.struct("source", "split", "row_index", "example_id", "speaker_id")
+    return rows.groupBy(F.col("__key").alias("sha256"), "count", "cross_split").agg(F.sort_array(F.collect_list(member)).alias("members"))
+
+
 def duplicate_members(df: DataFrame, key: str, *present: str) -> DataFrame:
     """The rows in duplicate groups with their group's count and cross_split: only counts are
     aggregated, before the shuffle, so no group gathers in one task."""
-    keyed = df
-    for c in (key, *present):
-        keyed = keyed.filter(F.trim(F.col(c)) != "")
+    keyed = _keyed(df, key, *present)
     groups = keyed.groupBy(key).agg(F.count("*").alias("group_count"), (F.min("split") != F.max("split")).alias("cross_split"))
     return keyed.join(groups.filter("group_count >= 2"), key)
 
@@ -136,13 +147,16 @@ def speaker_overlap(df: DataFrame) -> DataFrame:
     return splits.filter("splits > 1")
 
 
-def length_statistics(df: DataFrame, limit: float = 35.0) -> DataFrame:
-    """Per source: rows up to and over the limit, their hours, and the median words per second."""
+def length_statistics(df: DataFrame, limit: float = 35.0, accuracy: int | None = None) -> DataFrame:
+    """Per source: rows up to and over the limit, their hours, and the median words per second.
+
+    The exact median keeps a count of each distinct value of a source in memory; with an ``accuracy`` it is
+    the approximate one, of bounded memory (an error of 1 / accuracy in rank)."""
     over = F.col("duration_seconds") > limit
     hours = lambda test: F.sum(F.when(test, F.col("duration_seconds"))) / 3600
     return df.filter("decode_ok").groupBy("source").agg(
         F.count_if(~over).alias("rows_within"), F.count_if(over).alias("rows_over"), hours(~over).alias("hours_within"), hours(over).alias("hours_over"),
-        F.median("words_per_second").alias("median_words_per_second"),
+        (F.median("words_per_second") if accuracy is None else F.percentile_approx("words_per_second", 0.5, accuracy)).alias("median_words_per_second"),
     )
 
 
@@ -160,6 +174,21 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return packed.select(*[F.col(c) if c in keys else F.col(f"x.{c}").alias(c) for c in df.columns])
 
 
-def positions(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """A 0-based position within each key by an explicit order."""
-    return df.withColumn("position", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
+    """A 0-based position within each key by an explicit order.
+
+    Rows are spread by ranges of (key, order), numbered within each range, and shifted by what the
+    ranges before hold: no key, however large, is numbered by one task. Only a count per key and range
+    is brought together.
+    """
+    spread = df.repartitionByRange(partitions(df.sparkSession), *keys, *order).withColumn("__range", F.spark_partition_id())
+    placed = materialize(spread, "positions")  # the ranges must stay as they are counted
+    before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = placed.groupBy(*keys, "__range").agg(F.count("*").alias("__n"))
+    shifts = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    local = placed.withColumn(name, F.row_number().over(Window.partitionBy(*keys, "__range").orderBy(*order)) - 1)
+    same = [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in [*keys, "__range"]]
+    on = same[0]
+    for s in same[1:]:
+        on = on & s
+    return local.alias("a").join(shifts.alias("b"), on).select(*[F.col(f"a.{c}") for c in df.columns], (F.col(f"a.{name}") + F.col("b.__shift")).alias(name))

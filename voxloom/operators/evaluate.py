@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import distance
+from .audit import positions
 
 
 def scored(predictions: DataFrame) -> DataFrame:
@@ -65,8 +66,8 @@ def edit_totals(rows: DataFrame, *keys: str) -> DataFrame:
 
 def positional_zip(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of two tables paired by place in the order of ``key`` within a corpus, as two files read side by side."""
-    place = F.row_number().over(Window.partitionBy("corpus").orderBy(key))
-    return left.withColumn("place", place).join(right.withColumn("place", place).withColumnRenamed(key, f"other_{key}"), ["corpus", "place"])
+    a, b = positions(left, ["corpus"], [key], "place"), positions(right, ["corpus"], [key], "place").withColumnRenamed(key, f"other_{key}")
+    return a.join(b, ["corpus", "place"]).withColumn("place", F.col("place") + 1)
 
 
 def unknown_characters(inventory: DataFrame, vocabulary: DataFrame) -> DataFrame:

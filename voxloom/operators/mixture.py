@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .audit import positions
+
 SAMPLE_RATE = 16_000
 
 #: Names of the splits once materialised.
@@ -43,16 +45,18 @@ def within_length(rows: DataFrame, least: int, most: int) -> DataFrame:
 
 def part_numbers(rows: DataFrame, keys: list[str], order: list[str], rows_per_part: int = 100) -> DataFrame:
     """The file each row goes to, ``rows_per_part`` rows a file, by an explicit order within the keys."""
-    n = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) - 1
-    return rows.withColumn("part", F.format_string("part-%05d", F.floor(n / rows_per_part).cast("int")))
+    numbered = positions(rows, keys, order, "__n")
+    return numbered.withColumn("part", F.format_string("part-%05d", F.floor(F.col("__n") / rows_per_part).cast("int"))).drop("__n")
 
 
-def batches(rows: DataFrame, keys: list[str], order: list[str], most: int, buckets: int = 64) -> DataFrame:
+def batches(rows: DataFrame, keys: list[str], order: list[str], most: int, bucket_rows: int = 50_000) -> DataFrame:
     """Number the batches of at most ``most`` samples in all, filled greedily in the given order.
 
-    Rows spread over buckets by a hash of their order first, so that a hot key is filled by many tasks;
-    a batch lies within a bucket. A row longer than ``most`` makes a batch of its own.
+    Rows spread over buckets of about ``bucket_rows`` rows by a hash of their order first, so that a hot key
+    is filled by many tasks of bounded size; a batch lies within a bucket. A row longer than ``most``
+    makes a batch of its own.
     """
+    buckets = max(1, -(-rows.count() // bucket_rows))
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(order, kind="stable")

@@ -74,11 +74,15 @@ def review_queue(manifest: DataFrame) -> DataFrame:
 
 def next_pending(queue: DataFrame) -> DataFrame:
     """Per source, for each row the following pending one in order, the first after the last."""
-    order = Window.partitionBy("source").orderBy("priority", "split", "row_index", "review_id")
+    order = ["priority", "split", "row_index", "review_id"]
+    forth, back = Window.partitionBy("source").orderBy(*order), Window.partitionBy("source").orderBy(*[F.desc(c) for c in order])
     pending = F.when(text.safe_string(F.col("final_decision"), "") == "", F.col("review_id"))
-    after = F.first(pending, ignorenulls=True).over(order.rowsBetween(1, Window.unboundedFollowing))
-    first = F.first(pending, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return queue.select("review_id", "source", F.row_number().over(order).alias("place"), F.coalesce(after, first).alias("next_pending"))
+    # looked at from the end, the following pending row is the last one seen: a running value, not a new frame per row
+    after = F.last(pending, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
+    firsts = queue.withColumn("__p", pending).filter("__p is not null").groupBy(F.col("source").alias("__s")).agg(F.min_by("__p", F.struct(*order)).alias("__first"))
+    rows = queue.withColumns({"place": F.row_number().over(forth), "__after": after})
+    rows = rows.join(firsts, F.col("source").eqNullSafe(F.col("__s")), "left")
+    return rows.select("review_id", "source", "place", F.coalesce("__after", "__first").alias("next_pending"))
 
 
 def apply_decisions(rows: DataFrame, decisions: DataFrame, key: str, column: str) -> DataFrame:

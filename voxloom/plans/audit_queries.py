@@ -51,25 +51,26 @@ def audit_totals(spark, d):
     return audit.totals(parquet(spark, d, "dataset_audit")).withColumn("hours", F.round("hours", 6))
 
 
-def _groups_sql(key, present="true"):
-    return f"""select {key} as sha256, count(*) as count, count(distinct split) > 1 as cross_split, array_to_string(list_sort(list(source || ':' || split || ':' || row_index)), ',') as members
-    from dataset_audit where trim({key}) <> '' and {present} group by 1 having count(*) >= 2"""
-
-
-def _groups(spark, d, key, *present):
-    groups = audit.duplicate_groups(parquet(spark, d, "dataset_audit"), key, *present)
-    keys = F.sort_array(F.transform("members", lambda m: F.concat_ws(":", m.source, m.split, m.row_index.cast("string"))))
-    return groups.withColumn("members", F.array_join(keys, ","))
+def _groups_sql(key, present="true", members=""):
+    return f"""select {key} as sha256, count(*) as count, count(distinct split) > 1 as cross_split{members} from dataset_audit where trim({key}) <> '' and {present} group by 1 having count(*) >= 2"""
 
 
 @query(_groups_sql("text_sha256", "trim(text_normalized) <> ''"))
 def dup_groups_text(spark, d):
-    return _groups(spark, d, "text_sha256", "text_normalized")
+    return audit.duplicate_groups(parquet(spark, d, "dataset_audit"), "text_sha256", "text_normalized")
 
 
 @query(_groups_sql("audio_sha256"))
 def dup_groups_audio(spark, d):
-    return _groups(spark, d, "audio_sha256")
+    return audit.duplicate_groups(parquet(spark, d, "dataset_audit"), "audio_sha256")
+
+
+@query(_groups_sql("audio_sha256", members=", array_to_string(list_sort(list(source || ':' || split || ':' || row_index)), ',') as members"))
+def dup_report_audio(spark, d):
+    """The groups as the report has them, with their members."""
+    groups = audit.nested_groups(parquet(spark, d, "dataset_audit"), "audio_sha256")
+    keys = F.sort_array(F.transform("members", lambda m: F.concat_ws(":", m.source, m.split, m.row_index.cast("string"))))
+    return groups.withColumn("members", F.array_join(keys, ","))
 
 
 @query("""select record_no, loaded_at, group_count, cross_split from (select *, count(*) over (partition by audio_sha256) as group_count, min(split) over (partition by audio_sha256) <> max(split) over (partition by audio_sha256) as cross_split
