@@ -216,3 +216,43 @@ def _joined(values: pd.Series) -> pd.Series:
 def signed_to_binary_long(values: Column) -> Column:
     """As :func:`signed_to_binary`, for arrays too long for an expression per element."""
     return _joined(values)
+
+
+MEASURES = (
+    "decode_ok boolean, error string, sample_rate int, channels int, num_samples long, duration_seconds double, peak double, peak_dbfs double, rms double, rms_dbfs double, "
+    "clipping_fraction double, leading_silence_seconds double, trailing_silence_seconds double, silence_amplitude_threshold double, audio_sha256 string"
+)
+_NAMES = [x.split()[0] for x in MEASURES.split(", ")]
+
+
+def measure(data: bytes | None) -> tuple:
+    """All measures of one encoded recording, in the order of MEASURES."""
+    try:
+        if data is None:
+            raise ValueError("no audio")
+        frames, rate, channels = decode_wav(bytes(data))
+        x = mono(frames).astype(np.float32)
+        if rate <= 0 or not len(x) or not np.isfinite(x).all():
+            raise ValueError("empty or not finite")
+        a = np.abs(x.astype(np.float64))
+        top, level, seconds_ = float(a.max()), 0.0, len(x) / rate
+        lead = trail = seconds_
+        if top > 0:
+            level = max(1e-4, 0.01 * top)
+            active = np.flatnonzero(a >= level)
+            lead, trail = active[0] / rate, (len(x) - 1 - active[-1]) / rate
+        effective = float(np.sqrt(np.mean(a * a)))
+        db = lambda v: 20 * math.log10(max(v, 1e-12))
+        return (True, None, rate, channels, len(x), seconds_, top, db(top), effective, db(effective), float((a >= 0.999).mean()), lead, trail, level, hashlib.sha256(bytes(data)).hexdigest())
+    except Exception as e:  # a recording that can't be decoded is a result, not a failure of the job
+        return (False, f"{type(e).__name__}:{e}".replace("|", "/"), *[None] * (len(_NAMES) - 2))
+
+
+def _measured(data: pd.Series) -> pd.DataFrame:
+    out = pd.DataFrame([measure(d) for d in data], columns=_NAMES)
+    return out.astype({"sample_rate": "Int32", "channels": "Int32", "num_samples": "Int64", **{n: "float64" for n in _NAMES[5:14]}})
+
+
+def measured(data: Column) -> Column:
+    """``struct`` of MEASURES of encoded audio, decoded once; for recordings too long for functions per element."""
+    return F.pandas_udf(_measured, MEASURES)(data)
