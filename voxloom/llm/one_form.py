@@ -2,7 +2,7 @@
 
 Texts that need work are exploded to positioned code points, which a broadcast table decomposes
 and names look-alikes for; marks are put in order of their combining class, letters recomposed,
-and words and texts rebuilt. Texts that can't change, most of them, are told by three patterns made
+and words and texts rebuilt. Texts that can't change, most of them, are told by patterns made
 from the same tables and skip all that.
 """
 
@@ -27,13 +27,21 @@ def _recompose(letters: pd.Series) -> pd.Series:
 
 
 def needs_work(text: Column) -> Column:
-    unusual, changed, marks = tables.patterns()
-    return F.coalesce((text.rlike(unusual) & text.rlike(changed)) | text.rlike(marks), F.lit(False))
+    far, changed_far, changed_near, moved_near, moved_far = tables.patterns()
+    # what can be changed below U+0370 is an ASCII control, a grave accent, or begins with one of three bytes
+    data = text.cast("binary")
+    near = F.contains(text, F.lit("`")) | text.rlike(r"[\x00-\x1F\x7F]")
+    for lead in (0xC2, 0xCA, 0xCD):
+        near = near | F.contains(data, F.lit(bytes([lead])))
+    return F.coalesce((near & text.rlike(changed_near)) | text.rlike(moved_near) | (text.rlike(far) & (text.rlike(changed_far) | text.rlike(moved_far))), F.lit(False))
 
 
 def plain_blanks(text: Column) -> Column:
     """Single plain blanks, none at the ends."""
-    return F.trim(F.regexp_replace(text, "[ \t\n\r]+", " "))
+    untidy = F.startswith(text, F.lit(" ")) | F.endswith(text, F.lit(" "))
+    for blank in ("\t", "\n", "\r", "  "):
+        untidy = untidy | F.contains(text, F.lit(blank))
+    return F.when(untidy, F.trim(F.regexp_replace(text, "[ \t\n\r]+", " "))).otherwise(text)
 
 
 def forms_of(texts: DataFrame) -> DataFrame:

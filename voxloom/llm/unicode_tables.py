@@ -123,10 +123,11 @@ def _ranges(cps) -> str:
 
 
 @lru_cache(1)
-def patterns() -> tuple[str, str, str]:
-    """Java patterns ``(unusual, changed, marks)``: a text needs work only if it holds an unusual and a
-    changed character, or a mark that may have to be moved or composed. The first is short, so
-    that ordinary Latin text is passed over at the cost of one small class."""
+def patterns() -> tuple[str, ...]:
+    """Java patterns ``(far, changed_far, changed_near, moved_near, moved_far)``: a text needs work only if it holds
+    a character to be changed or a mark that may have to be moved or composed. Those past U+036F are looked
+    for only in texts with characters past U+036F, so ordinary Latin text is passed over at the cost
+    of a few small classes."""
     changed, marks = set(map(ord, LOOK_ALIKES)), set()
     for cp, row in rows():
         ch = chr(cp)
@@ -138,12 +139,13 @@ def patterns() -> tuple[str, str, str]:
     for cp, row in rows():  # a composed letter may take part of a later mark: what it is made of decides
         if len(row) > 1 or row and row[0][0] != chr(cp):
             firsts.add(cp)
-    plain = [*range(0x09, 0x0E), *range(0x20, 0x60), *range(0x61, 0x7F), *range(0xC0, 0x2B0), *(set(range(0x300, 0x370)) - changed)]
-    plain = [c for c in plain if c not in (0x0B, 0x0C)]
-    assert not changed & set(plain)
-    # Java tries the ranges of a class one by one, so each class stands behind a test of one range
+    # Java tries the ranges of a class one by one, so each class stands behind a test of one or two ranges
+    below = [c for c in changed if c < 0x370]
+    assert all(c < 0x20 or c in (0x60, 0x7F) or chr(c).encode()[0] in (0xC2, 0xCA, 0xCD) for c in below)
+    idle = [c for c in range(0x250, 0x2B0) if c not in firsts]  # letters with tone marks that never compose
     latin = [c for c in firsts if c < 0x250 or 0x300 <= c < 0x370 or 0x1E00 <= c < 0x1F00]
     rest = [c for c in firsts if c not in set(latin)]
-    low = rf"[\u0300-\u036F](?:(?<=[\u0000-\u036F\u1E00-\u1EFF].)(?<=[{_ranges(latin)}].)|(?<=[\u0370-\u1DFF\u1F00-\x{{10FFFF}}].)(?<=[{_ranges(rest)}].))"
+    low = rf"[\u0300-\u036F](?<![{_ranges(idle)}].)(?:(?<=[\u0000-\u036F\u1E00-\u1EFF].)(?<=[{_ranges(latin)}].)|(?<=[\u0370-\u1DFF\u1F00-\x{{10FFFF}}].)(?<=[{_ranges(rest)}].))"
     high = rf"(?=[\u0370-\x{{10FFFF}}])[{_ranges(m for m in marks if m > 0x36F)}](?<=[{_ranges(firsts)}].)"
-    return f"[^{_ranges(plain)}]", rf"(?=[\x{{0}}-\x{{8}}\x{{B}}\x{{C}}\x{{E}}-\x{{1F}}\x{{60}}\x{{7F}}-\x{{10FFFF}}])[{_ranges(changed)}]", f"{low}|{high}"
+    # the low marks lie between the letters and the rest; the second pattern of each pair decides
+    return rf"[^\x00-\u036F]", rf"(?=[^\x00-\u036F])[{_ranges(c for c in changed if c >= 0x370)}]", f"[{_ranges(below)}]", low, high
