@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,6 +55,23 @@ def clean() -> None:
             pass
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, for clusters where it isn't installed."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="voxloom-")) / f"{root.name}-package.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(target))
+    _shipped.add(application)
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's shuffle width, for explicit repartitions ahead of stages that expand rows
     (adaptive execution would size those by their small input)."""
