@@ -40,7 +40,7 @@ def test_audit_run(spark, sources, tmp_path):
 def test_mixture_run(spark, sources, tmp_path):
     examples = ingest.raw_examples(*sources[0])
     chosen = spark.createDataFrame([("alpha", "train", 0, "t"), ("alpha", "test", 2, "u"), ("alpha", "test", 9, "v")], "source string, split string, row_index long, text string")
-    counts, failed = pipelines.mixture_run(examples, chosen, f"{tmp_path}/m", "bci_Latn")
+    counts, failed = pipelines.mixture_run(examples, chosen, f"{tmp_path}/m", "und")
     assert [(r.corpus, r.split, r.examples, r.samples) for r in counts.collect()] == [("alpha", "train", 1, 32_000)]
     assert sorted(r.row_index for r in failed.collect()) == [2, 9]
 

@@ -30,6 +30,7 @@ def quality_flags(t: Thresholds = Thresholds()) -> Column:
     """Names of the flags a row of measures raises, in their fixed order. A row that couldn't be decoded has
     a decode flag in place of those on measures; null measures raise nothing."""
     c = F.col
+    # Names of the flags
     measured = {
         "too_short": c("duration_seconds") < t.shortest_seconds,
         "too_long_requires_alignment": c("duration_seconds") > t.longest_seconds,

@@ -120,11 +120,11 @@ def rows_capped(spark, d):
     return readers.capped(parquet(spark, d, "dataset_audit"), 25).select("source", "split", "row_index", "record_no", "loaded_at")
 
 
-@query("select record_no, loaded_at, split from dataset_audit where source = 'waxal' and dataset_revision = (select max(dataset_revision) from dataset_audit where source = 'waxal')")
+@query("select record_no, loaded_at, split from dataset_audit where source = (select max(source) from dataset_audit) and dataset_revision = (select max(dataset_revision) from dataset_audit where source = (select max(source) from dataset_audit))")
 def pinned_source(spark, d):
     df = parquet(spark, d, "dataset_audit")
-    revision = df.filter("source = 'waxal'").agg(F.max("dataset_revision")).first()[0]
-    return readers.pinned(df, "waxal", revision).select("record_no", "loaded_at", "split")
+    source, revision = df.agg(F.max(F.struct("source", "dataset_revision")).alias("x")).select("x.*").first()
+    return readers.pinned(df, source, revision).select("record_no", "loaded_at", "split")
 
 
 @query("select record_no, source, split, row_index, text_raw from dataset_audit qualify row_number() over (partition by record_no order by loaded_at desc) = 1")
@@ -235,9 +235,9 @@ def manifest_with_audio(spark, d):
 # --- mixtures
 
 
-@query("select distinct record_no, split, case split when 'train' then 'train' when 'validation' then 'dev' when 'test' then 'test' end as output_split, source as corpus, 'bci_Latn' as language from dataset_audit")
+@query("select distinct record_no, split, case split when 'train' then 'train' when 'validation' then 'dev' when 'test' then 'test' end as output_split, source as corpus, 'und' as language from dataset_audit")
 def output_splits(spark, d):
-    return parquet(spark, d, "dataset_audit").select("record_no", "split", mixture.output_split(F.col("split")).alias("output_split"), F.col("source").alias("corpus"), F.lit("bci_Latn").alias("language")).distinct()
+    return parquet(spark, d, "dataset_audit").select("record_no", "split", mixture.output_split(F.col("split")).alias("output_split"), F.col("source").alias("corpus"), F.lit("und").alias("language")).distinct()
 
 
 @query("select corpus, split, count(*) as examples, sum(audio_size)::bigint as samples, round(sum(audio_size) / 16000.0 / 3600, 6) as hours from mixture_rows group by 1, 2")
