@@ -24,7 +24,7 @@ def audit(spark, rows):
     """rows: (record_no, split, text_normalized[, text_raw, source, speaker, duration, loaded day])."""
     full = []
     for r in rows:
-        no, split, norm, raw, source, speaker, seconds, loaded = (*r, *[None, None, "waxal", None, 5.0, 0][len(r) - 2 :])[:8] if len(r) < 8 else r
+        no, split, norm, raw, source, speaker, seconds, loaded = (*r, *[None, None, "studio", None, 5.0, 0][len(r) - 2 :])[:8] if len(r) < 8 else r
         full.append((source, "d", split, no, f"e{no}", speaker, raw, norm, seconds, no, None if loaded is None else day(loaded), "x", "x", 1, 2, "x", "x", 3, "x", "x", "x", "x", "x", 4, "x", "x"))
     return spark.createDataFrame(full, AUDIT)
 

@@ -33,7 +33,7 @@ def collection(seed, n=160):
 @pytest.mark.parametrize("seed", [1, 2])
 def test_against_all_pairs(spark, seed, monkeypatch):
     rows = collection(seed)
-    df = audit(spark, [*rows, *[(*r, None, "waxal", None, 5.0, 9) for r in rows[:20]]])
+    df = audit(spark, [*rows, *[(*r, None, "studio", None, 5.0, 9) for r in rows[:20]]])
     every = list(near(rows))
     crossing = {(a, b) for a, b, x, y in every if {x[0], y[0]} & {"train"} and {x[0], y[0]} & {"validation", "test"}}
     got = cross_split.cross_split_pairs(df).collect()

@@ -52,7 +52,7 @@ WORDS = "wa wb wc wd we wf wg wh wi é"
 def test_pairs(spark):
     other = WORDS.replace("é", "é")
     rows = [
-        (1, "train", WORDS, "A"), (2, "test", other, "A​"), (2, "test", other, "A​", "waxal", None, 5.0, 3), (3, "train", WORDS, "A."), (4, "train", "wa é", "A​"), (5, "train", "wa é", "A"),
+        (1, "train", WORDS, "A"), (2, "test", other, "A​"), (2, "test", other, "A​", "studio", None, 5.0, 3), (3, "train", WORDS, "A."), (4, "train", "wa é", "A​"), (5, "train", "wa é", "A"),
         (6, "train", None, "A"), (7, "train", "", None), (8, "validation", WORDS, None), (9, "test", WORDS, ""), (10, "test", other, "​"),
     ]
     got = sorted(tuple(r) for r in O.equal_looking_pairs(audit(spark, rows)).collect())

@@ -25,7 +25,7 @@ def test_scan_of_run_lengths(rows, cuts):
 
 
 def test_terms(spark):
-    rows = [(i, "train", "Lifle " + ("tawen " * (i % 3)) + f"u{i} É") for i in range(20)] + [(30, "test", None), (31, "test", ""), (32, "test", " ​ "), (33, "test", "TAWEN taw​en"), (33, "test", "TAWEN taw​en", None, "waxal", None, 5.0, 4)]
+    rows = [(i, "train", "Lifle " + ("tawen " * (i % 3)) + f"u{i} É") for i in range(20)] + [(30, "test", None), (31, "test", ""), (32, "test", " ​ "), (33, "test", "TAWEN taw​en"), (33, "test", "TAWEN taw​en", None, "studio", None, 5.0, 4)]
     got = {r.term: (r.occurrences, r.records, r.mark) for r in term_counts.term_counts(audit(spark, rows)).collect()}
     texts = {no: (one_form(t) or "").lower().split() for no, _, t, *_ in rows}
     occurrences, records = Counter(w for t in texts.values() for w in t), Counter(w for t in texts.values() for w in set(t))
@@ -40,9 +40,9 @@ def test_exactly_a_tenth_is_not_common(spark):
 
 
 def test_speaker_codes(spark):
-    writings = ["waxal:JR0007", " waxal : jr0007", "WAXAL:JR0007", "waxal-JR0007", "waxal/JR​0007", "JR0007", "ｗａｘａｌ：ＪＲ０００７", "waxal: JR0007"]
-    nobody = [None, "", "  ", "waxal:", "waxal:unknown", "N/A", "waxal: n/a", "​"]
-    df = spark.createDataFrame([(w,) for w in writings + nobody], "s string").select(group_split.speaker_code(F.col("s"), F.lit("waxal")).alias("c"))
+    writings = ["studio:JR0007", " studio : jr0007", "STUDIO:JR0007", "studio-JR0007", "studio/JR​0007", "JR0007", "ｓｔｕｄｉｏ：ＪＲ０００７", "studio: JR0007"]
+    nobody = [None, "", "  ", "studio:", "studio:unknown", "N/A", "studio: n/a", "​"]
+    df = spark.createDataFrame([(w,) for w in writings + nobody], "s string").select(group_split.speaker_code(F.col("s"), F.lit("studio")).alias("c"))
     assert [r.c for r in df.collect()] == ["jr0007"] * len(writings) + [None] * len(nobody)
 
 
@@ -50,10 +50,10 @@ FULL = "0123456789abcdef0123456789abcdef"
 
 
 def test_leaks(spark):
-    a = lambda no, split, speaker, source="waxal", loaded=0: (no, split, "t", None, source, speaker, 5.0, loaded)
+    a = lambda no, split, speaker, source="studio", loaded=0: (no, split, "t", None, source, speaker, 5.0, loaded)
     rows = [
-        a(1, "train", "waxal:" + FULL), a(2, "test", FULL[:12] + "…"), a(3, "validation", "waxal:" + FULL[:20]), a(4, "test", "waxal:" + FULL[:11]), a(5, "test", FULL, "klayt"),
-        a(6, "train", None), a(7, "test", None), a(8, "test", "unknown"), a(9, "train", "unknown"), a(10, "test", "WAXAL-" + FULL.upper()), a(11, "test", "B1"), a(11, "test", "B1", loaded=2), a(12, "train", "B1", "tavo"), a(13, None, "B1"),
+        a(1, "train", "studio:" + FULL), a(2, "test", FULL[:12] + "…"), a(3, "validation", "studio:" + FULL[:20]), a(4, "test", "studio:" + FULL[:11]), a(5, "test", FULL, "field"),
+        a(6, "train", None), a(7, "test", None), a(8, "test", "unknown"), a(9, "train", "unknown"), a(10, "test", "STUDIO-" + FULL.upper()), a(11, "test", "B1"), a(11, "test", "B1", loaded=2), a(12, "train", "B1", "tavo"), a(13, None, "B1"),
     ]
     got = sorted(r.record_no for r in group_split.leaking_records(audit(spark, rows)).collect())
     assert got == [2, 3, 10] and group_split.leaking_records(audit(spark, rows).filter("false")).count() == 0
