@@ -296,7 +296,7 @@ def listening_sample(spark, d):
     return mixture.stratified_sample(rows, ["corpus", "split"], "record_no", 5).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@query()
+@query("""select record_no, sha256(b) as sha256, sha256(b) as sha256_arrow from (select record_no, unhex(array_to_string(list_transform(audio_bytes, lambda x: printf('%02x', (x::int + 256) % 256)), '')) as b from mixture_rows)""")
 def audio_byte_hashes(spark, d):
     """SHA-256 of the bytes behind the signed-byte lists; an expression and an Arrow function give the same."""
     b = F.col("audio_bytes")
