@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialized_path
+from ..session import materialize, materialized_path
 from .fm_index import FMIndex, spans
 from .word_sets import classes_and_members, set_rows
 
@@ -178,12 +178,18 @@ def cross_split_pairs(audit: DataFrame, t: Fraction = Fraction(3, 5), least_word
 
 
 def overlap_counts(audit: DataFrame, t: Fraction = Fraction(3, 5), least_words: int = 10) -> DataFrame:
-    """Per evaluation split and source: records met in training, the training records they meet, pairs, exact pairs."""
-    pairs = cross_split_pairs(audit, t, least_words)
+    """Per evaluation split and source: records met in training, the training records they meet, pairs, and pairs of
+    equal word sets. Counted from links between classes and the classes' sizes: however many copies a
+    text has, its pairs are multiplied, not made."""
+    classes, members = classes_and_members(set_rows(audit, least_words))
+    left = members.filter("split = 'train'").groupBy(F.col("cid").alias("a")).agg(F.count("*").alias("n"))
+    right = members.filter("split in ('validation', 'test')").groupBy(F.col("cid").alias("b"), "split", "source").agg(F.count("*").alias("m"))
     same = (F.col("shared") == F.col("size_a")) & (F.col("shared") == F.col("size_b"))
-    return pairs.groupBy("split", "source").agg(
-        F.countDistinct("evaluation_record").alias("records"),
-        F.countDistinct("train_record").alias("train_records"),
-        F.count("*").alias("pairs"),
-        F.count_if(same).alias("same_words"),
-    )
+    links = materialize(class_pairs(classes, t).join(left, "a").join(right, "b").select("a", "b", "split", "source", "n", "m", same.alias("same")), "class-overlaps")
+    none, pairs = F.lit(0).cast("long"), F.col("n") * F.col("m")
+    parts = [
+        links.select("split", "source", none.alias("records"), none.alias("train_records"), pairs.alias("pairs"), F.when(F.col("same"), pairs).otherwise(0).alias("same_words")),
+        links.select("split", "source", "b", "m").distinct().select("split", "source", F.col("m").alias("records"), none.alias("train_records"), none.alias("pairs"), none.alias("same_words")),
+        links.select("split", "source", "a", "n").distinct().select("split", "source", none.alias("records"), F.col("n").alias("train_records"), none.alias("pairs"), none.alias("same_words")),
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("split", "source").agg(*[F.sum(c).alias(c) for c in ("records", "train_records", "pairs", "same_words")])

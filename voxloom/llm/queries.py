@@ -148,10 +148,20 @@ def oracle_sql() -> dict[str, str]:
         join (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null) b on a.g = b.g and a.record_no < b.record_no and a.t <> b.t"""
     terms = f"""with {_RECORDS}, t as (select record_no, unnest(string_split(lower(f), ' ')) as term from r), c as (select term, count(*) as occurrences, count(distinct record_no) as records from t where term <> '' group by 1)
         select *, case when records = 1 then 'rare' when records > 0.1 * (select count(*) from r) then 'common' end as mark from c"""
+    crossing = "(sa = 'train' and sb in ('validation', 'test')) or (sb = 'train' and sa in ('validation', 'test'))"
     return {
+        "p2_counts": f"""with p as ({_NEAR + crossing}), s as (select record_no, any_value(split) as split, any_value(source) as source, {_form_sql("coalesce(any_value(text_normalized), '')")} as f from dataset_audit group by 1),
+            x as (select case when a.split = 'train' then a.record_no else b.record_no end as t, case when a.split = 'train' then b.record_no else a.record_no end as e, list_sort(list_distinct({_WORDS.replace(" f,", " a.f,").replace("(f,", "(a.f,")})) = list_sort(list_distinct({_WORDS.replace("(f,", "(b.f,")})) as same
+            from p join s a on record_a = a.record_no join s b on record_b = b.record_no)
+            select split, source, count(distinct e) as records, count(distinct t) as train_records, count(*) as pairs, count(*) filter (same) as same_words from x join s on e = record_no group by 1, 2""",
+        "p5_groups": f"""with recursive near_p as ({_NEAR} true), full_s as (with {_RECORDS} select record_no, split from full_r), l as (select record_a as a, record_b as b from near_p union all select record_b, record_a from near_p),
+            c(n, g) as (select record_no, record_no from full_s union select l.b, c.g from c join l on l.a = c.n), root as (select n, min(g) as group_id from c group by 1), size as (select group_id, count(*) as group_records from root group by 1),
+            degree as (select a, count(*) as k from l group by 1)
+            select record_no, split, group_id, group_records, coalesce(k, 0) as links from full_s join root on record_no = n join size using (group_id) left join degree on a = record_no""",
+        "p7_round_trip": "select doc_id, true as same from documents",
         "p1_found": f"with {_RECORDS} {pair('text_raw', 'raw')} union all {pair('text_normalized', 'norm')}",
         "p1_forms": f"""select record_no, loaded_at, 'text_raw' as field, {_form_sql('text_raw')} as form from dataset_audit union all select record_no, loaded_at, 'text_normalized', {_form_sql('text_normalized')} from dataset_audit""",
-        "p2_found": _NEAR + "(sa = 'train' and sb in ('validation', 'test')) or (sb = 'train' and sa in ('validation', 'test'))",
+        "p2_found": _NEAR + crossing,
         "p3_terms": terms,
         "p3_found": f"select term, mark from ({terms}) where mark is not null",
         "p4_found": _SPEAKERS + " select record_no from m where split in ('validation', 'test') and (source, speaker) in (select source, speaker from m where split = 'train')",
