@@ -57,3 +57,11 @@ def test_bootstrap_holds_the_rate(spark):
 def test_panel(spark):
     df = spark.createDataFrame([(i, "c", f"{i:02d}", 64_000 if i else 1) for i in range(5)], "record_no long, corpus string, audio_sha256 string, audio_size long")
     assert [(r.record_no, r.label) for r in evaluate.panel(df, 64_000, 224_000).orderBy("label").collect()] == [(1, "dev_01"), (2, "dev_02")]
+
+
+def test_paired_difference(spark):
+    make = lambda k: evaluate.scored(spark.createDataFrame([(i, "x", "dev", ["a", "b"], ["a", "b" if i % k else "c"]) for i in range(300)], SCHEMA))
+    r = evaluate.paired_difference(make(2), make(3), "record_no").first()
+    assert abs(r.difference - (0.25 - 100 / 600)) < 1e-9 and r.low < r.difference < r.high
+    same = evaluate.paired_difference(make(2), make(2), "record_no").first()
+    assert (same.difference, same.low, same.high) == (0.0, 0.0, 0.0)

@@ -75,3 +75,31 @@ def test_stream_of_log_lines(spark, tmp_path):
 def test_materialize_writes_to_the_shared_folder(spark):
     df = materialize(spark.range(3), "three")
     assert df.count() == 3 and df.inputFiles()[0].startswith(shared_dir(spark).replace("file://", "file:///").replace("////", "///")[:20])
+
+
+def test_panel_document(spark, tmp_path):
+    sinks.json_document({"examples": [{"audio_sha256": "b"}, {"audio_sha256": "a"}]}, f"{tmp_path}/p.json")
+    got = readers.panel_examples(readers.json_document(spark, f"{tmp_path}/p.json")).collect()
+    assert [(r.place, r.audio_sha256) for r in got] == [(0, "b"), (1, "a")]
+
+
+def test_candidates_and_configuration(tmp_path):
+    for name in ("x/one", "y/a", "y/b"):
+        (tmp_path / name).mkdir(parents=True)
+    (tmp_path / "x/one/f.csv").touch()
+    (tmp_path / "y/a/f.csv").touch()
+    assert readers.only_candidate([f"{tmp_path}/none", f"{tmp_path}/x", f"{tmp_path}/y"], ["f.csv"]) == f"{tmp_path}/x/one"
+    (tmp_path / "y/b/f.csv").touch()
+    with pytest.raises(ValueError, match="several"):
+        readers.only_candidate([f"{tmp_path}/y"], ["f.csv"])
+    with pytest.raises(FileNotFoundError):
+        readers.only_candidate([f"{tmp_path}/x"], ["g.csv"])
+    config = {"regime": {"steps": 20, "other": 1}, "seed": 3}
+    assert readers.overridden(config, {"regime.steps": 50}, {"seed": 3})["regime"] == {"steps": 50, "other": 1} and config["regime"]["steps"] == 20
+    with pytest.raises(KeyError):
+        readers.overridden(config, {"regime.step": 50})
+    with pytest.raises(ValueError):
+        readers.overridden(config, {}, {"seed": 4})
+    assert readers.require_range("seconds", 40, 0, 40) == 40
+    with pytest.raises(ValueError):
+        readers.require_range("seconds", 0, 0, 40)

@@ -6,7 +6,7 @@ from __future__ import annotations
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -111,6 +111,25 @@ def base64_text(data: Column) -> Column:
     return F.translate(F.base64(data), "\r\n", "")
 
 
+def data_uri(data: Column, mime: str) -> Column:
+    return F.concat(F.lit(f"data:{mime};base64,"), base64_text(data))
+
+
+def register(spark: SparkSession, prefix: str = "vox_") -> None:
+    """Make text functions callable from SQL, as session functions that the optimizer sees through."""
+    spark.udf.register(f"{prefix}nfc", _nfc)
+    spark.udf.register(f"{prefix}three_decimals", _three_decimals)
+    bodies = {
+        "word_count(t STRING) RETURNS INT": "size(filter(split(coalesce(t, ''), ' '), w -> w <> ''))",
+        "bare(t STRING) RETURNS STRING": r"regexp_replace(t, r'(?U)^\s+|\s+$', '')",
+        "listed(t STRING) RETURNS ARRAY<STRING>": r"filter(split(coalesce(t, ''), r'\|'), x -> trim(x) <> '')",
+        "decibels(v DOUBLE) RETURNS DOUBLE": "20 * log10(greatest(v, 1e-12D))",
+        "parsed(t STRING) RETURNS DOUBLE": "nullif(try_cast(t AS DOUBLE), double('NaN'))",
+    }
+    for head, body in bodies.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{head} RETURN {body}")
+
+
 def character_inventory(df: DataFrame, text: str, *keys: str) -> DataFrame:
     """``(keys, character, count)`` of all characters but blanks. Counts are summed before the shuffle, so
     it moves an alphabet per task, not the text."""

@@ -175,6 +175,11 @@ def latest(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return packed.select(*[F.col(c) if c in keys else F.col(f"x.{c}").alias(c) for c in df.columns])
 
 
+def top_rows(df: DataFrame, order: list, n: int) -> DataFrame:
+    """The first n rows of an order: each task keeps its own n, so nothing is sorted as a whole."""
+    return df.orderBy(*order).limit(n)
+
+
 def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
     """A 0-based position within each key by an explicit order.
 

@@ -72,6 +72,13 @@ def review_queue(manifest: DataFrame) -> DataFrame:
     return manifest.filter("suggested_decision <> 'keep'").orderBy("priority", "source", "split", "row_index")
 
 
+def pending_rows(manifest: DataFrame, source: str | None = None, split: str | None = None) -> DataFrame:
+    """Rows without a decision, of one source or split if given; each test reaches the scan."""
+    out = manifest.filter(F.col("source") == source) if source is not None else manifest
+    out = out.filter(F.col("split") == split) if split is not None else out
+    return out.filter(text.safe_string(F.col("final_decision"), "") == "")
+
+
 def next_pending(queue: DataFrame) -> DataFrame:
     """Per source, for each row the following pending one in order, the first after the last."""
     order = ["priority", "split", "row_index", "review_id"]

@@ -54,6 +54,11 @@ def checkpoint_states(files: DataFrame, devices: int, kinds: tuple[str, ...] = K
     return counts.withColumn("complete", least >= devices)
 
 
+def directory_sizes(files: DataFrame, depth_pattern: str = r"^(.*/step_[0-9]+)/") -> DataFrame:
+    """Bytes and files below each directory that the pattern's first group names."""
+    return files.withColumn("directory", F.regexp_extract("path", depth_pattern, 1)).filter("directory <> ''").groupBy("directory").agg(F.sum("length").alias("bytes"), F.count("*").alias("files"))
+
+
 def resume_step(states: DataFrame) -> DataFrame:
     return states.filter("complete").agg(F.max("step").alias("step"))
 

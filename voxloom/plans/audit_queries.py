@@ -174,6 +174,17 @@ def review_queue(spark, d):
     return review.review_queue(parquet(spark, d, "decision_manifest_reviewed")).select("priority", "source", "split", "row_index", "review_id", "reviewed_at")
 
 
+@query("select review_id, reviewed_at from decision_manifest_reviewed where split = 'train' and trim(coalesce(final_decision, '')) = ''")
+def pending_reviews(spark, d):
+    return review.pending_rows(parquet(spark, d, "decision_manifest_reviewed"), split="train").select("review_id", "reviewed_at")
+
+
+@query("select distinct record_no, duration_seconds from dataset_audit where duration_seconds is not null order by duration_seconds desc, record_no limit 100")
+def longest_recordings(spark, d):
+    rows = parquet(spark, d, "dataset_audit").select("record_no", "duration_seconds").distinct().filter("duration_seconds is not null")
+    return audit.top_rows(rows, [F.desc("duration_seconds"), "record_no"], 100)
+
+
 @query("""with q as (select * from decision_manifest_reviewed qualify row_number() over (partition by review_id order by reviewed_at desc) = 1),
     p as (select *, case when trim(coalesce(final_decision, '')) = '' then review_id end as pending from q)
     select review_id, source, row_number() over w as place, coalesce(first_value(pending ignore nulls) over (partition by source order by priority, split, row_index, review_id rows between 1 following and unbounded following),

@@ -105,8 +105,8 @@ def cut_lists(spark, d):
 
 @query("select doc_id, base64(encode(text)) as encoded, 'data:text/plain;base64,' || base64(encode(text)) as uri from documents")
 def data_uris(spark, d):
-    encoded = T.base64_text(F.encode("text", "UTF-8"))
-    return parquet(spark, d, "documents").select("doc_id", encoded.alias("encoded"), F.concat(F.lit("data:text/plain;base64,"), encoded).alias("uri"))
+    data = F.encode("text", "UTF-8")
+    return parquet(spark, d, "documents").select("doc_id", T.base64_text(data).alias("encoded"), T.data_uri(data, "text/plain").alias("uri"))
 
 
 @query("""select distinct record_no, split_part(dataset_id || '@' || dataset_revision, '@', 1) as id, split_part(dataset_id || '@' || dataset_revision, '@', 2) as revision,
@@ -131,3 +131,13 @@ def csv_round_trip(spark, d):
     left, right = want.groupBy(*m.columns).agg(F.count("*").alias("n")), back.groupBy(*m.columns).agg(F.count("*").alias("n"))
     lost = left.exceptAll(right).agg(F.count("*").alias("lost"))
     return lost.join(right.exceptAll(left).agg(F.count("*").alias("gained"))).join(back.agg(F.count("*").alias("rows")))
+
+
+@query("""select record_no, loaded_at, len(list_filter(string_split(coalesce(text_raw, ''), ' '), lambda w: w <> ''))::int as words, array_to_string(list_filter(string_split(coalesce(review_reasons, ''), '|'), lambda x: trim(x) <> ''), ',') as reasons,
+    case when peak is not null then round(20 * log10(greatest(peak, 1e-12)), 6) end as peak_dbfs, nfc_normalize(text_raw) as composed, try_cast(example_id as double) as number from dataset_audit""")
+def sql_functions(spark, d):
+    """The functions as SQL sees them."""
+    T.register(spark)
+    parquet(spark, d, "dataset_audit").createOrReplaceTempView("vox_audit")
+    return spark.sql("""select record_no, loaded_at, vox_word_count(text_raw) as words, array_join(vox_listed(review_reasons), ',') as reasons, case when peak is not null then round(vox_decibels(peak), 6) end as peak_dbfs,
+        vox_nfc(text_raw) as composed, vox_parsed(example_id) as number from vox_audit""")

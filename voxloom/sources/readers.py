@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import copy
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +61,47 @@ def file_inventory(spark: SparkSession, root: str) -> DataFrame:
 
 def file_hashes(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", F.sha2("content", 256).alias("sha256"))
+
+
+def panel_examples(document: DataFrame) -> DataFrame:
+    """The examples of a panel document with their place in it."""
+    return document.select(F.posexplode("examples").alias("place", "example")).select("place", "example.*")
+
+
+def only_candidate(folders: list[str], needed: list[str]) -> str:
+    """The first of the folders, in order of preference, that holds the needed files; an error if none does,
+    or if several subfolders of one do."""
+    for folder in folders:
+        root = Path(folder)
+        found = [p for p in [root, *sorted(x for x in root.glob("*") if x.is_dir())] if p.is_dir() and all((p / n).exists() for n in needed)]
+        if len(found) > 1:
+            raise ValueError(f"several candidates: {', '.join(map(str, found))}")
+        if found:
+            return str(found[0])
+    raise FileNotFoundError(f"no folder holds {', '.join(needed)}")
+
+
+def overridden(config: dict, changes: dict[str, object], held: dict[str, object] | None = None) -> dict:
+    """A copy of a nested configuration with values at dotted names replaced; ``held`` are values that must be as given."""
+    out = copy.deepcopy(config)
+    for name, value in changes.items():
+        *parents, last = name.split(".")
+        at = out
+        for p in parents:
+            at = at[p]
+        if last not in at:
+            raise KeyError(name)
+        at[last] = value
+    for name, value in (held or {}).items():
+        at = out
+        for p in name.split("."):
+            at = at[p]
+        if at != value:
+            raise ValueError(f"{name} is {at!r}, not {value!r}")
+    return out
+
+
+def require_range(name: str, value: float, above: float, upto: float) -> float:
+    if not above < value <= upto:
+        raise ValueError(f"{name} must be over {above} and at most {upto}")
+    return value
