@@ -118,6 +118,17 @@ def test_sketches_estimate_similarity(j):
     assert (np.maximum(r[0], r[1]) == near_dup.sketches(np.union1d(sets[0], sets[1]), np.array([2 * n - shared]), 0, 144)[0]).all()
 
 
+def test_slices_hold_the_limit():
+    import pyarrow as pa
+
+    lengths = [3, 0, 5, 12, 1, 1, 4, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array([list(range(n)) for n in lengths], pa.list_(pa.int64()))], ["seq"])
+    parts = list(cross_split.sliced([batch.slice(1), batch.slice(0, 0)], most=6))
+    assert [x for p in parts for x in p.column("seq").to_pylist()] == batch.column("seq").to_pylist()[1:]
+    sizes = [[len(x) for x in p.column("seq").to_pylist()] for p in parts]
+    assert all(sum(s) <= 6 or len(s) == 1 for s in sizes)
+
+
 def test_sketches_of_sets_larger_than_a_piece(monkeypatch):
     flat, lengths = np.arange(1000, dtype=np.int64) % 300, np.array([400, 0, 600])
     whole = near_dup.sketches(flat, lengths, 0, 20)

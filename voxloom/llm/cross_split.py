@@ -30,6 +30,7 @@ from .word_sets import classes_and_members, set_rows
 SHARD_RECORDS = 50_000  # evaluation records per index; bounds an index to some tens of MB
 SHARDS_HELD = 4  # indexes a worker holds at once
 LOCATED_AT_ONCE = 4_000_000
+WORDS_AT_ONCE = 1_000_000
 _held: OrderedDict = OrderedDict()
 _PAIRS = "a long, b long, shared int, size_a int, size_b int, matches int, longest int"
 
@@ -40,6 +41,18 @@ def _flat(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.values.to_numpy(zero_copy_only=False)[offsets[0] : offsets[-1]], np.diff(offsets)
 
 
+def sliced(batches, column: str = "seq", most: int = WORDS_AT_ONCE):
+    """The batches cut so that each piece holds at most ``most`` words, but for longer single rows."""
+    for batch in batches:
+        ends = np.cumsum(np.diff(batch.column(column).offsets.to_numpy()))
+        begin = 0
+        while begin < batch.num_rows:
+            room = (ends[begin - 1] if begin else 0) + most
+            end = max(int(np.searchsorted(ends, room, "right")), begin + 1)
+            yield batch.slice(begin, end - begin)
+            begin = end
+
+
 def _build(key, table):
     flat, lengths = _flat(table["seq"])
     blob = FMIndex(table["cid"].to_numpy(), flat, lengths).dump()
@@ -126,7 +139,7 @@ def _candidates(index: FMIndex, flat: np.ndarray, lengths: np.ndarray, t: Fracti
 
 def _search(folder: str, parts: list[int], t: Fraction):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches):
             flat, lengths = _flat(batch.column("seq"))
             ids = batch.column("cid").to_numpy()
             for part in parts:

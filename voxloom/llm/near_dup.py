@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize, partitions
-from .cross_split import _flat
+from .cross_split import _flat, sliced
 from .word_sets import classes_and_members, set_rows
 
 BANDS, ROWS = 36, 4  # at similarity 0.6 a pair shares a band with probability 0.993, at 0.7 with 0.99996
@@ -65,7 +65,7 @@ def _bits(flat: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def _bands(batches):
-    for batch in batches:
+    for batch in sliced(batches):
         flat, lengths = _flat(batch.column("seq"))
         registers = sketches(flat, lengths, 0, BANDS * ROWS).reshape(len(lengths), BANDS, ROWS).astype(np.uint64)
         packed = sum(registers[:, :, k] << np.uint64(16 * k) for k in range(ROWS))
@@ -100,7 +100,7 @@ def similarity_estimate(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarr
 
 def _estimated(least: float):
     def run(batches):
-        for batch in batches:
+        for batch in sliced(batches, "seq_a"):
             (fa, na), (fb, nb) = _flat(batch.column("seq_a")), _flat(batch.column("seq_b"))
             if not len(na):
                 continue
