@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ..functions import signal as S
 from ..functions import text as T
 from ..operators import audit, mixture, review
-from ..session import shared_dir
+from ..session import scratch_path
 from ..sources import readers, sinks
 from ..sources.readers import parquet
 from .registry import query
@@ -290,7 +288,7 @@ def mixture_verification(spark, d):
 @query("select corpus, split, language, record_no, audio_size, text from mixture_rows where split = 'dev' and audio_size <= 320000")
 def hive_round_trip(spark, d):
     """Written under Hive directories and read again, with the filters pushed to directories and row groups."""
-    root = f"{shared_dir(spark)}/voxloom/mixture-{uuid.uuid4().hex}"
+    root = scratch_path(spark, "mixture")
     sinks.mixture(parquet(spark, d, "mixture_rows"), root)
     return readers.mixture(spark, root).filter("split = 'dev' and audio_size <= 320000").select("corpus", "split", "language", "record_no", "audio_size", "text")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -10,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import signal as S
 from ..functions import text as T
 from ..operators import evaluate, telemetry
+from ..session import scratch_path
 from ..sources.readers import parquet
 from ..streaming import telemetry as streams
 from .registry import query
@@ -154,7 +154,7 @@ def streamed_maxima(spark, d):
     """The same from a file stream that is drained once."""
     e = parquet(spark, d, "events")
     stream = streams.table_stream(spark, d, "events", e.schema)
-    return streams.drained(telemetry.device_maxima(stream, "user_id", highest="value"), f"maxima_{uuid.uuid4().hex}", tempfile.mkdtemp())
+    return streams.drained(telemetry.device_maxima(stream, "user_id", highest="value"), f"maxima_{uuid.uuid4().hex}", scratch_path(spark, "stream"))
 
 
 @query("select user_id as step, count(*) filter (event_type = 'click') as click, count(*) filter (event_type = 'view') as view, count(*) filter (event_type = 'error') as error, sum(event_id)::bigint as bytes, least(click, view, error) >= 20 as complete from events group by 1")

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..operators import audit, review, telemetry
-from ..session import shared_dir
+from ..session import scratch_path
 from ..sources.readers import parquet
 from .registry import query
 
@@ -119,12 +119,10 @@ def labels_and_revisions(spark, d):
 @query()
 def csv_round_trip(spark, d):
     """The manifest written as CSV and read again, held against the table: differing rows of either side."""
-    import uuid
-
     from ..sources import readers, sinks
 
     m = parquet(spark, d, "decision_manifest_reviewed").drop("reviewed_at")
-    path = f"{shared_dir(spark)}/voxloom/csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "csv")
     sinks.csv_table(m, path, m.columns)
     back = readers.csv_strings(spark, path, m.columns, ["review_id", "final_decision"])
     want = m.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in m.columns])

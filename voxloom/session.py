@@ -15,15 +15,24 @@ _written: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or where that is unset a local
-    one, which serves tests on a single machine."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share: ``spark.checkpoint.dir``, or the context's checkpoint folder. Where neither is
+    set, a local one serves a single machine; on a cluster that is an error."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="voxloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed with :func:`clean`."""
+    path = f"{shared_dir(spark)}/voxloom/{name}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a stage to the shared folder and read it again.
 
@@ -35,16 +44,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def materialized_path(df: DataFrame, name: str) -> str:
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/voxloom/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
     return path
 
 
 @atexit.register
 def clean() -> None:
-    """Remove every table written by :func:`materialize` in this process."""
+    """Remove what this process has written to the shared folder."""
     while _written:
         spark, path = _written.pop()
         try:
