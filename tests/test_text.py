@@ -65,3 +65,21 @@ def test_inventory_and_descriptions(spark):
 
 def test_base64_has_no_line_ends(spark):
     assert "\n" not in one(spark, "a" * 1000, lambda c: T.base64_text(F.encode(c, "UTF-8")))
+
+
+def _plain(text):
+    import re
+
+    x = unicodedata.normalize("NFC", text)
+    x = re.sub(r"\[[^\]]*\]", " ", x).translate({ord(c): "'" for c in T.APOSTROPHES}).lower()
+    x = "".join(c if c == "'" or unicodedata.category(c)[0] in "LMN" else " " for c in x)
+    return " ".join(w for w in x.split() if not all(unicodedata.category(c) == "Nd" for c in w))
+
+
+def test_spoken_form_over_all_older_characters(spark):
+    chars = [chr(c) for c in range(1, 0x20000) if unicodedata.category(chr(c)) not in ("Cs", "Cn", "Co") and unicodedata.ucd_3_2_0.category(chr(c)) != "Cn"]
+    texts = [f"a{c}b {c}{c} 1{c} {c}1 x" for c in chars]
+    got = [r.y for r in spark.createDataFrame(list(enumerate(texts)), "i int, x string").select("i", T.spoken_form(F.col("x")).alias("y")).orderBy("i").collect()]
+    wrong = [c for c, t, g in zip(chars, texts, got, strict=True) if g != _plain(t)]
+    # letters whose case or class later Unicode versions changed
+    assert len(wrong) <= 40, [f"{ord(c):04X}" for c in wrong]

@@ -71,11 +71,11 @@ def paired_difference(first: DataFrame, second: DataFrame, unit: str, rounds: in
     b = second.select(unit, F.col("word_errors").alias("eb"), F.col("words").alias("wb"))
     both = a.join(b, unit)
     rate = lambda e, w, k: F.sum(F.col(e) * k) / F.greatest(F.lit(1), F.sum(F.col(w) * k))
-    whole = both.agg((rate("ea", "wa", F.lit(1)) - rate("eb", "wb", F.lit(1))).alias("difference"))
-    drawn = both.select("*", F.explode(F.sequence(F.lit(1), F.lit(rounds))).alias("round")).withColumn("k", _times(F.col("round"), unit, seed))
+    # round 0 takes every unit once and gives the difference itself
+    drawn = both.select("*", F.explode(F.sequence(F.lit(0), F.lit(rounds))).alias("round")).withColumn("k", F.when(F.col("round") == 0, 1).otherwise(_times(F.col("round"), unit, seed)))
     rates = drawn.groupBy("round").agg((rate("ea", "wa", F.col("k")) - rate("eb", "wb", F.col("k"))).alias("d"))
-    interval = rates.agg(F.percentile("d", 0.025).alias("low"), F.percentile("d", 0.975).alias("high"))
-    return whole.join(interval)  # one row each
+    of = lambda test: F.when(test, F.col("d"))
+    return rates.agg(F.max(of(F.col("round") == 0)).alias("difference"), F.percentile(of(F.col("round") > 0), 0.025).alias("low"), F.percentile(of(F.col("round") > 0), 0.975).alias("high"))
 
 
 def edit_totals(rows: DataFrame, *keys: str) -> DataFrame:

@@ -18,11 +18,11 @@ def device_maxima(samples: DataFrame, device: str, **measures: str) -> DataFrame
     return valid.groupBy(F.col(device).cast("long").alias("device")).agg(*[F.greatest(F.lit(0.0), F.max(parsed(F.col(c).cast("string")))).alias(n) for n, c in measures.items()])
 
 
-def log_metrics(log: DataFrame, text: str, pattern: str) -> DataFrame:
-    """``(step, metric)`` of every match in whole log texts; a record may wrap over lines."""
-    pairs = log.select(F.explode(matched_pairs(F.col(text), pattern)).alias("p"))
+def log_metrics(log: DataFrame, text: str, pattern: str, *more: str) -> DataFrame:
+    """``(step, metric)``, and ``more`` columns of the log, of every match in whole texts; a record may wrap over lines."""
+    pairs = log.select(*more, F.explode(matched_pairs(F.col(text), pattern)).alias("p"))
     number = lambda c: F.regexp_replace(c, r"\s", "")
-    return pairs.select(number(F.col("p.first")).try_cast("long").alias("step"), number(F.col("p.second")).try_cast("double").alias("metric"))
+    return pairs.select(*more, number(F.col("p.first")).try_cast("long").alias("step"), number(F.col("p.second")).try_cast("double").alias("metric"))
 
 
 def overflow_count(text: Column, phrase: str = "Overflow detected at step") -> Column:

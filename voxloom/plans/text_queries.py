@@ -88,9 +88,8 @@ Overflow detected at step 15"""
 
 @query("select * from (values (50::bigint, 38.25::double, 2), (100::bigint, 35.5::double, 2)) t(step, metric, overflows)")
 def log_extract(spark, d):
-    log = spark.createDataFrame([(LOG,)], "value string")
-    counts = log.select(telemetry.overflow_count(F.col("value")).alias("overflows"))
-    return telemetry.log_metrics(log, "value", r"step (\d+) \| validation\s+wer:\s*([\d.]+)").join(counts)
+    log = spark.createDataFrame([(LOG,)], "value string").withColumn("overflows", telemetry.overflow_count(F.col("value")))
+    return telemetry.log_metrics(log, "value", r"step (\d+) \| validation\s+wer:\s*([\d.]+)", "overflows")
 
 
 @query("""select review_id, reviewed_at, len(c)::int as cuts, coalesce(len(c) > 0 and len(list_filter(c, lambda x: x is null or not (x > 0 and x < dur))) = 0 and list_sort(list_distinct(c)) = c, false) as valid
@@ -116,7 +115,7 @@ def labels_and_revisions(spark, d):
     return parquet(spark, d, "dataset_audit").select("record_no", F.split_part(both, F.lit("@"), F.lit(1)).alias("id"), F.split_part(both, F.lit("@"), F.lit(2)).alias("revision"), F.format_string("dev_%02d", F.col("row_index") % 100).alias("label")).distinct()
 
 
-@query()
+@query("select 'lost' as side, 0::bigint as rows union all select 'gained', 0 union all select 'read', count(*) from decision_manifest_reviewed")
 def csv_round_trip(spark, d):
     """The manifest written as CSV and read again, held against the table: differing rows of either side."""
     from ..sources import readers, sinks
@@ -127,8 +126,8 @@ def csv_round_trip(spark, d):
     back = readers.csv_strings(spark, path, m.columns, ["review_id", "final_decision"])
     want = m.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in m.columns])
     left, right = want.groupBy(*m.columns).agg(F.count("*").alias("n")), back.groupBy(*m.columns).agg(F.count("*").alias("n"))
-    lost = left.exceptAll(right).agg(F.count("*").alias("lost"))
-    return lost.join(right.exceptAll(left).agg(F.count("*").alias("gained"))).join(back.agg(F.count("*").alias("rows")))
+    count = lambda df, side: df.agg(F.count("*").alias("rows")).select(F.lit(side).alias("side"), "rows")
+    return count(left.exceptAll(right), "lost").unionByName(count(right.exceptAll(left), "gained")).unionByName(count(back, "read"))
 
 
 @query("""select record_no, loaded_at, len(list_filter(string_split(coalesce(text_raw, ''), ' '), lambda w: w <> ''))::int as words, array_to_string(list_filter(string_split(coalesce(review_reasons, ''), '|'), lambda x: trim(x) <> ''), ',') as reasons,
