@@ -30,3 +30,9 @@ def test_query(spark, duck, name):
         cursor = duck.execute(sql)
         names = [x[0] for x in cursor.description]
         assert got == Counter(tuple(str(r[names.index(c)]) for c in columns) for r in cursor.fetchall())
+
+
+@pytest.mark.parametrize("name", sorted(queries.queries()))
+def test_no_query_pairs_everything_with_everything(spark, name):
+    plan = queries.queries()[name](spark, str(DATA))._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
