@@ -11,7 +11,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_written: list[tuple[SparkSession, str]] = []
+_written: list[tuple] = []  # what reaches the file system, also after the session has stopped, and the path
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder, removed with :func:`clean`."""
     path = f"{shared_dir(spark)}/voxloom/{name}-{uuid.uuid4().hex}"
-    _written.append((spark, path))
+    _written.append((spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration(), path))
     return path
 
 
@@ -53,12 +53,11 @@ def materialized_path(df: DataFrame, name: str) -> str:
 def clean() -> None:
     """Remove what this process has written to the shared folder."""
     while _written:
-        spark, path = _written.pop()
+        jvm, configuration, path = _written.pop()
         try:
-            jvm = spark.sparkContext._jvm
             where = jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session may be gone at exit; the shared folder has its own life time
+            where.getFileSystem(configuration).delete(where, True)
+        except Exception:  # the JVM may be gone at exit; the shared folder has its own life time
             pass
 
 
