@@ -3,6 +3,8 @@ then a scan of run lengths."""
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,5 +87,6 @@ def term_counts(audit: DataFrame, common_share: float = 0.1) -> DataFrame:
     partial = ordered.mapInArrow(_scan, "term string, occurrences long, records long")
     counts = partial.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
     # a record's equal rows lie in one task, for they have one sort key: partial record counts never overlap
-    mark = F.when(F.col("records") == 1, "rare").when(F.col("records") > F.lit(common_share) * F.lit(total), "common")
+    most = int(Fraction(str(common_share)) * total)  # whole numbers: a term in exactly the share isn't common
+    mark = F.when(F.col("records") == 1, "rare").when(F.col("records") > most, "common")
     return counts.withColumn("mark", mark)
