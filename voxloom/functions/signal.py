@@ -186,26 +186,30 @@ def encode_flac(x: np.ndarray, rate: int = SAMPLE_RATE) -> bytes:
     return buffer.getvalue()
 
 
-def _prepared(data: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
-    rows = []
-    for d, a, b in zip(data, start, end, strict=True):
-        try:
-            frames, rate, _ = decode_wav(bytes(d))
-            x = resample(mono(frames), rate)
-            if not pd.isna(a):
-                x = x[round(a * SAMPLE_RATE) : round(b * SAMPLE_RATE)]
-            if not SAMPLE_RATE <= len(x) <= 40 * SAMPLE_RATE + 1:
-                raise ValueError(f"{len(x)} samples")
-            rows.append((np.frombuffer(encode_wav(x), np.int8).tolist(), len(x), None))
-        except Exception as e:
-            rows.append((None, None, f"{type(e).__name__}:{e}"))
-    return pd.DataFrame(rows, columns=["audio_bytes", "audio_size", "error"]).astype({"audio_size": "Int64"})
-
-
-def prepared(data: Column, start: Column, end: Column) -> Column:
+def _preparer(encode):
+    def run(data: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
+        rows = []
+        for d, a, b in zip(data, start, end, strict=True):
+            try:
+                frames, rate, _ = decode_wav(bytes(d))
+                x = resample(mono(frames), rate)
+                if not pd.isna(a):
+                    x = x[round(a * SAMPLE_RATE) : round(b * SAMPLE_RATE)]
+                if not SAMPLE_RATE <= len(x) <= 40 * SAMPLE_RATE + 1:
+                    raise ValueError(f"{len(x)} samples")
+                rows.append((np.frombuffer(encode(x), np.int8).tolist(), len(x), None))
+            except Exception as e:  # reported with its row, so one bad recording doesn't stop a run
+                rows.append((None, None, f"{type(e).__name__}:{e}"))
+        return pd.DataFrame(rows, columns=["audio_bytes", "audio_size", "error"]).astype({"audio_size": "Int64"})
+
+    return run
+
+
+def prepared(data: Column, start: Column, end: Column, codec: str = "wav") -> Column:
     """Decode, mix down, resample to 16 kHz, trim (null bounds: whole), check the length and encode:
-    ``struct(audio_bytes, audio_size, error)``."""
-    return F.pandas_udf(_prepared, "audio_bytes array<tinyint>, audio_size long, error string")(data, start, end)
+    ``struct(audio_bytes, audio_size, error)``. codec is wav, or flac where soundfile is installed."""
+    encode = {"wav": encode_wav, "flac": encode_flac}[codec]
+    return F.pandas_udf(_preparer(encode), "audio_bytes array<tinyint>, audio_size long, error string")(data, start, end)
 
 
 @F.pandas_udf(BinaryType())
