@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
 from voxloom.operators import audit, mixture, review, telemetry
+from voxloom.plans import audit_queries
 
 AUDIT = "source string, split string, row_index long, example_id string, speaker_id string, text_normalized string, text_sha256 string, audio_sha256 string"
 MEASURES = "text_normalized string, decode_ok boolean, duration_seconds double, peak double, rms_dbfs double, clipping_fraction double, leading_silence_seconds double, trailing_silence_seconds double, words_per_second double"
@@ -29,6 +30,24 @@ def test_blank_keys_form_no_group(spark):
         audit.nested_groups(df, "audio_sha256", most=1).collect()
 
 
+def test_groups_over_the_limit_are_given_in_parts(spark):
+    many = [row("a", ("train", "test")[i % 2], i * 37 % 50) for i in range(50)]
+    df = spark.createDataFrame([*many, row("b", "train", 1, h="k"), row("b", "train", 0, h="k"), row("c", "test", 0, h="alone")], AUDIT)
+    got = audit.group_parts(df, "audio_sha256", most=15).orderBy("sha256", "part").collect()
+    assert [(r.sha256, r["count"], r.cross_split, r.part, len(r.members)) for r in got] == [*[("h", 50, True, p, n) for p, n in enumerate((15, 15, 15, 5))], ("k", 2, False, 0, 2)]
+    assert [(m.split, m.row_index) for r in got[:4] for m in r.members] == sorted((r[1], r[2]) for r in many)
+    whole = audit.nested_groups(df, "audio_sha256").orderBy("sha256").collect()
+    assert [m for r in got[:4] for m in r.members] == whole[0].members and got[4].members == whole[1].members
+    assert audit.group_parts(df.filter("false"), "audio_sha256").count() == 0
+
+
+def test_report_of_a_group_over_the_limit(spark):
+    rows = [row("a", "train", i) for i in range(120)]
+    got = audit_queries._report(spark.createDataFrame(rows, AUDIT), most=50).collect()
+    assert [(r.sha256, r["count"], r.cross_split) for r in got] == [("h", 120, False)]
+    assert got[0].members == ",".join(sorted(f"a:train:{i}" for i in range(120)))
+
+
 def test_positions_of_a_hot_key(spark):
     df = spark.createDataFrame([("hot" if i % 3 else None if i % 2 else "k", i * 7919 % 1000) for i in range(1000)], "k string, i long")
     got = audit.positions(df, ["k"], ["i"]).toPandas()

@@ -88,16 +88,38 @@ def duplicate_groups(df: DataFrame, key: str, *present: str) -> DataFrame:
     return groups.filter("count >= 2")
 
 
+MEMBER = ("source", "split", "row_index", "example_id", "speaker_id")
+
+
+def _nested(rows: DataFrame, member: tuple[str, ...], *part: str) -> DataFrame:
+    return rows.groupBy(F.col("__key").alias("sha256"), "count", "cross_split", *part).agg(F.sort_array(F.collect_list(F.struct(*member))).alias("members"))
+
+
 def nested_groups(df: DataFrame, key: str, *present: str, most: int = 100_000) -> DataFrame:
-    """The groups as a report holds them, with ``members``, in the order of their keys, inside each row.
+    """The groups with ``members``, in the order of their keys, inside each row.
 
     A row can't be split, so a group of more than ``most`` members is an error here, found before
-    anything is gathered; :func:`duplicate_members` has no such limit.
+    anything is gathered; :func:`group_parts` and :func:`duplicate_members` have no such limit.
     """
     counts = duplicate_groups(df, key, *present).withColumn("count", F.when(F.col("count") <= most, F.col("count")).otherwise(F.raise_error(F.lit(f"a group has more than {most} members")).cast("long")))
-    rows = _keyed(df, key, *present).withColumn("__key", F.col(key)).join(counts.withColumnRenamed("sha256", "__key"), "__key")
-    member = F.struct("source", "split", "row_index", "example_id", "speaker_id")
-    return rows.groupBy(F.col("__key").alias("sha256"), "count", "cross_split").agg(F.sort_array(F.collect_list(member)).alias("members"))
+    return _nested(_keyed(df, key, *present).withColumn("__key", F.col(key)).join(counts.withColumnRenamed("sha256", "__key"), "__key"), MEMBER)
+
+
+def group_parts(df: DataFrame, key: str, *present: str, most: int = 100_000, member: tuple[str, ...] = MEMBER) -> DataFrame:
+    """The groups as a report holds them: ``(sha256, count, cross_split, part, members)``, whatever their sizes.
+
+    A group of at most ``most`` members is one row, part 0. A larger one is several, of ``most`` members each but
+    the last; joined by part they are all members, in the order of the columns ``member``. count and
+    cross_split are the whole group's. Only members of larger groups are numbered, by :func:`positions`.
+    """
+    groups = materialize(duplicate_groups(df, key, *present).withColumnRenamed("sha256", "__key"), "groups")
+    keyed = _keyed(df, key, *present).select(F.col(key).alias("__key"), *member)
+    whole = _nested(keyed.join(groups.filter(F.col("count") <= most), "__key"), member).select("sha256", "count", "cross_split", F.lit(0).cast("long").alias("part"), "members")
+    large = groups.filter(F.col("count") > most)
+    if large.isEmpty():
+        return whole
+    placed = positions(keyed.join(large, "__key"), ["__key"], list(member), "__at")
+    return whole.unionByName(_nested(placed.withColumn("part", F.floor(F.col("__at") / most)), member, "part"))
 
 
 def duplicate_members(df: DataFrame, key: str, *present: str) -> DataFrame:

@@ -63,12 +63,17 @@ def dup_groups_audio(spark, d):
     return audit.duplicate_groups(parquet(spark, d, "dataset_audit"), "audio_sha256")
 
 
+def _report(rows, **limits):
+    """A row per group, as the SQL has it, so the parts of a large group are put together as text."""
+    parts = audit.group_parts(rows.withColumn("at", F.concat_ws(":", "source", "split", F.col("row_index").cast("string"))), "audio_sha256", member=("at",), **limits)
+    texts = parts.select("sha256", "count", "cross_split", F.struct("part", F.array_join("members.at", ",").alias("text")).alias("x"))
+    return texts.groupBy("sha256", "count", "cross_split").agg(F.array_join(F.sort_array(F.collect_list("x")).text, ",").alias("members"))
+
+
 @query(_groups_sql("audio_sha256", members=", array_to_string(list_sort(list(source || ':' || split || ':' || row_index)), ',') as members"))
 def dup_report_audio(spark, d):
     """The groups as the report has them, with their members."""
-    groups = audit.nested_groups(parquet(spark, d, "dataset_audit"), "audio_sha256")
-    keys = F.sort_array(F.transform("members", lambda m: F.concat_ws(":", m.source, m.split, m.row_index.cast("string"))))
-    return groups.withColumn("members", F.array_join(keys, ","))
+    return _report(parquet(spark, d, "dataset_audit"))
 
 
 @query("""select record_no, loaded_at, group_count, cross_split from (select *, count(*) over (partition by audio_sha256) as group_count, min(split) over (partition by audio_sha256) <> max(split) over (partition by audio_sha256) as cross_split

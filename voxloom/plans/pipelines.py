@@ -32,7 +32,7 @@ def audit_run(sources: list[tuple[DataFrame, ingest.Source]], folder: str, limit
     sinks.csv_table(rows, f"{folder}/dataset_audit", FIELDS)
     sinks.csv_table(rows.filter("status <> 'accept'"), f"{folder}/manual_review", FIELDS)
     for name, key, present in (("audio", "audio_sha256", ()), ("normalized_text", "text_sha256", ("text_normalized",))):
-        sinks.json_lines(audit.nested_groups(rows, key, *present), f"{folder}/duplicate_groups/kind={name}")
+        sinks.json_lines(audit.group_parts(rows, key, *present), f"{folder}/duplicate_groups/kind={name}")
     inventory = text.character_inventory(rows, "text_raw", "source").withColumn("form", F.lit("raw")).unionByName(text.character_inventory(rows, "text_normalized", "source").withColumn("form", F.lit("normalized")))
     sinks.json_lines(text.describe_characters(inventory).orderBy("source", "form", "character"), f"{folder}/characters")
     summary = {"totals": _rows(audit.totals(rows))[0], "groups": _rows(audit.group_summary(rows).orderBy("source", "split")), "reasons": _rows(audit.item_histogram(rows, F.col("review_reasons"), "source", "split"))}
