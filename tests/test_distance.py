@@ -35,6 +35,19 @@ def test_nulls_and_long_lists(spark):
     assert [x.d for x in df.select(D.token_distance(F.col("r"), F.col("h")).alias("d")).collect()] == [1, 2, 1]
 
 
+def test_pairs_over_the_limit_of_distinct_tokens(spark):
+    many = [f"w{i}" for i in range(D.MOST_DISTINCT + 5)]
+    other = ["new", *many[1:9_000], *many[9_001:15_000], "more", *many[15_000:-1], None]  # replaced, left out, put in, replaced
+    df = spark.createDataFrame([(1, many, other), (2, ["a"], ["b", "a"]), (3, None, many), (4, many, many)], "i int, r array<string>, h array<string>")
+    assert [x.d for x in df.select("i", D.token_distance(F.col("r"), F.col("h")).alias("d")).orderBy("i").collect()] == [4, 1, len(many), 0]
+
+
+@settings(deadline=None)
+@given(st.lists(word, max_size=9), st.lists(word, max_size=9))
+def test_steps(r, h):
+    assert D._steps(r, h) == brute(r, h)
+
+
 def rows(spark):
     data = [(1, "x", "dev", ["a", "b", "c"], ["a", "x", "c"]), (2, "x", "dev", [], ["a", "b"]), (3, "y", "test", ["a", "b"], None), (3, "y", "test", ["a", "b"], ["a", "b"])]
     return evaluate.scored(spark.createDataFrame(data, SCHEMA))

@@ -1,7 +1,9 @@
-"""Edit distances between token lists, by the built-in Levenshtein on one code point per distinct token."""
+"""Edit distances between token lists, by the built-in Levenshtein on one code point per distinct token, and over
+Arrow where a pair has more distinct tokens than code points are set apart."""
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -9,17 +11,38 @@ from pyspark.sql import functions as F
 MOST_DISTINCT = 20_000  # distinct tokens of a pair that fit between U+4E00 and the surrogates, with room
 
 
+def _steps(reference: list, hypothesis: list) -> int:
+    """Levenshtein of two lists of any size, a row of the table at a time."""
+    number: dict = {}
+    a, b = (np.array([number.setdefault(w, len(number)) for w in x], np.int64) for x in (reference, hypothesis))
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.arange(len(b) + 1, dtype=np.int64)
+    row = at.copy()
+    for w in a:
+        new = row + 1  # a token of the shorter list left out
+        np.minimum(new[1:], row[:-1] + (b != w), out=new[1:])
+        row = np.minimum.accumulate(new - at) + at  # or tokens of the longer one put in, one after another
+    return int(row[-1])
+
+
+def _long_distance(reference: pd.Series, hypothesis: pd.Series) -> pd.Series:
+    return pd.Series([None if r is None else _steps(list(r), list(h)) for r, h in zip(reference, hypothesis, strict=True)], dtype="Int32")
+
+
 def token_distance(reference: Column, hypothesis: Column) -> Column:
     """Insertions, deletions and substitutions between two arrays of strings.
 
     Null arrays count as empty; null items as a token of their own. Pairs with more than
-    MOST_DISTINCT distinct tokens raise an error rather than give a wrong number.
+    MOST_DISTINCT distinct tokens go through an Arrow function, which gets nulls for all others.
     """
     clean = lambda a: F.transform(F.coalesce(a, F.array().cast("array<string>")), lambda w: F.coalesce(w, F.lit("\u0000")))
     r, h = clean(reference), clean(hypothesis)
     known = F.array_distinct(F.concat(r, h))
     coded = lambda a: F.decode(F.unhex(F.concat_ws("", F.transform(a, lambda w: F.hex(F.lit(19968) + F.array_position(known, w))))), "UTF-16BE")
-    return F.when(F.size(known) <= MOST_DISTINCT, F.levenshtein(coded(r), coded(h))).otherwise(F.raise_error(F.lit("too many distinct tokens in one pair")).cast("int"))
+    many = F.size(known) > MOST_DISTINCT
+    long = F.pandas_udf(_long_distance, "int")(F.when(many, r), F.when(many, h))
+    return F.when(many, long).otherwise(F.levenshtein(coded(r), coded(h)))
 
 
 def character_distance(reference: Column, hypothesis: Column) -> Column:
