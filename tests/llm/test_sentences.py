@@ -72,6 +72,17 @@ def test_viterbi_finds_the_best_path():
         assert value(chain.tags(list(scores))) == max(map(value, itertools.product([False, True], repeat=4)))
 
 
+def test_the_transition_is_learnt():
+    model = S.adjusted([[(("same",), c) for c in (1, -1, 1, -1, 1)]] * 20, 20)  # no weight of places tells them apart
+    assert model.again < 0 and model.tags([model.score(("same",))] * 5) == [True, False, True, False, True]
+    before = S.conventions
+    try:
+        S.conventions = lambda f: -0.5 if f == "T:plain" else before(f)
+        assert S.train(["ผู้อ่านข้าม\n\nห้องเล็กเงียบ\n\nผู้พูดอ่านเร็ว คลิปที่ 7 ทั้งหมด"] * 20).again > 0
+    finally:
+        S.conventions = before
+
+
 def test_whole_tables(spark):
     long = "One is here. " * 30_000
     rows = [(1, "A b. C d.", "s"), (2, None, "s"), (3, "", None), (4, " \n", "s"), (5, long, "s"), (5, long, "s")]

@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import defaultdict
+from itertools import pairwise
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -283,7 +284,13 @@ def train(texts: list[str], passes: int = PASSES) -> Chain:
                 at += 1
             if got := places(" ".join(parts)):
                 chains.append([(f, 1 if e in joins and not c else c) for e, f, c in got])
-    model, total, seen = Chain(), defaultdict(float), 0
+    return adjusted(chains, passes)
+
+
+def adjusted(chains: list[list[tuple[tuple[str, ...], int]]], passes: int) -> Chain:
+    """The averaged weights, that of the transition among them, after passes over ``(features, certain)`` of the places of each
+    chain; certain is 1, -1 or, where unknown, 0."""
+    model, total, again, seen = Chain(), defaultdict(float), 0.0, 0
     for _ in range(passes):
         for chain in chains:
             seen += 1
@@ -298,7 +305,10 @@ def train(texts: list[str], passes: int = PASSES) -> Chain:
                         step = 0.1 if w else -0.1
                         model.weights[x] += step
                         total[x] += step * seen
-    return Chain({x: w - total[x] / (seen + 1) for x, w in model.weights.items()}, model.again)
+            step = 0.1 * (sum(map(all, pairwise(want))) - sum(map(all, pairwise(got))))
+            model.again += step
+            again += step * seen
+    return Chain({x: w - total[x] / (seen + 1) for x, w in model.weights.items()}, model.again - again / (seen + 1))
 
 
 def sentences(text: str | None, model: Chain) -> list[tuple[int, int]]:
