@@ -83,6 +83,15 @@ def test_the_transition_is_learnt():
         S.conventions = before
 
 
+def test_the_sample_holds_whole_texts(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(S, "train", seen.extend)
+    long = "It ends. " * 4_000  # 36 000 characters
+    S.fitted(documents(spark, [(i, long if i % 2 else "Short.", "s") for i in range(400)]))
+    assert set(seen) == {long, "Short."} and seen.count("Short.") == 200
+    assert 80 < seen.count(long) < 140  # 20 000 / 36 000 of 200
+
+
 def test_whole_tables(spark):
     long = "One is here. " * 30_000
     rows = [(1, "A b. C d.", "s"), (2, None, "s"), (3, "", None), (4, " \n", "s"), (5, long, "s"), (5, long, "s")]

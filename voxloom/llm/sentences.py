@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from .unicode_tables import LOOK_ALIKES
 
 SAMPLE_DOCUMENTS = 2000  # documents the weights are adjusted on
+SAMPLE_CHARACTERS = 20_000  # longer documents are drawn less often, in proportion
 PASSES = 3
 
 # End marks. Those of the second line are not shared with abbreviations or numbers.
@@ -334,12 +335,15 @@ def sentences(text: str | None, model: Chain) -> list[tuple[int, int]]:
     return out
 
 
-def fitted(documents: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE_DOCUMENTS) -> Chain:
-    """The model adjusted on about ``sample`` documents drawn by a hash of the key, at most 20 000 characters of
-    each: the only data that reaches the driver, of the same size for any corpus."""
+def fitted(documents: DataFrame, text: str = "text", key: str = "doc_id", sample: int = SAMPLE_DOCUMENTS, characters: int = SAMPLE_CHARACTERS) -> Chain:
+    """The model adjusted on about ``sample`` whole documents drawn by a hash of the key: the only data that reaches the driver.
+
+    A document of more than ``characters`` is drawn less often, by characters / length, and never cut, so that
+    about sample x characters are expected at most for any corpus."""
     rows = documents.filter(F.col(text).isNotNull())
     share = min(1.0, sample / max(rows.count(), 1))
-    rows = rows.filter(F.pmod(F.xxhash64(F.lit(5), key), F.lit(1_000_000)) < int(share * 1_000_000)).select(key, F.substring(text, 1, 20_000).alias("t"))
+    most = int(share * 1_000_000) * F.least(F.lit(1.0), characters / F.greatest(F.length(text), F.lit(1)))
+    rows = rows.filter(F.pmod(F.xxhash64(F.lit(5), key), F.lit(1_000_000)) < most).select(key, F.col(text).alias("t"))
     return train([r["t"] for r in sorted(rows.collect())])
 
 
