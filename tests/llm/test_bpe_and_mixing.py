@@ -83,6 +83,14 @@ def test_unlabelled_documents_go_to_their_likely_source(spark):
     assert len(right) == 60 and np.mean(right) > 0.95 and all(abs(sum(p) - 1) < 1e-9 for p in soft.values()) and 2403 in soft
 
 
+def test_the_classifier_counts_whole_texts(spark):
+    same, own = "one two three four " * 700, {"a": "alpha beta " * 700, "b": "rot blau " * 700}  # texts differ past 2 000 tokens only
+    rows = [(i, same + own["ab"[i % 2]], "ab"[i % 2]) for i in range(60)] + [(60, same + own["a"], None), (61, same + own["b"], None)]
+    members, names, model = mixing.memberships(documents(spark, rows))
+    soft = {r.doc_id: r.posterior for r in members.filter("domain = -1").collect()}
+    assert names == ["a", "b"] and model.scale > 0 and soft[60][0] > 0.95 and soft[61][1] > 0.95
+
+
 def test_missing_documents_and_targets(spark):
     t = spark.createDataFrame([("m", "big", 0.5, 1, "x"), ("m", "gone", 0.5, 2, "x")], TARGETS)
     docs = documents(spark, corpus(spark)[:50])

@@ -42,32 +42,21 @@ class Classifier:
     scale: float = 1.0
 
     @classmethod
-    def fit(cls, sources: list[str], labels: np.ndarray, features: list[list[int]]) -> Classifier:
-        held = np.arange(len(labels)) % 5 == 4
-        scale = 0.0
-        if held.any() and not held.all():
-            part = cls._counted(sources, labels[~held], [f for f, h in zip(features, held, strict=True) if not h])
-            evidence = np.array([part.evidence(f) for f, h in zip(features, held, strict=True) if h])
-            truth = labels[held]
-
-            def loss(x: float) -> float:
-                z = part.prior + x * evidence
-                z = z - z.max(1, keepdims=True)
-                return float((np.log(np.exp(z).sum(1)) - z[np.arange(len(truth)), truth]).sum())
-
-            scale = min(SCALES, key=loss)
-        out = cls._counted(sources, labels, features)
-        out.scale = scale
-        return out
-
-    @classmethod
-    def _counted(cls, sources: list[str], labels: np.ndarray, features: list[list[int]]) -> Classifier:
-        counts = np.full((len(sources), FEATURES), 0.1)
-        for label, ids in zip(labels, features, strict=True):
-            np.add.at(counts[label], np.asarray(ids, np.int64) % FEATURES, 1.0)
-        prior = np.bincount(labels, minlength=len(sources)) + 1.0
+    def counted(cls, sources: list[str], labelled: np.ndarray, counts: np.ndarray) -> Classifier:
+        """From the documents of each source and the counts of each source's hashed ids."""
+        prior, counts = labelled + 1.0, counts + 0.1
         return cls(sources, np.log(prior / prior.sum()), np.log(counts / counts.sum(1, keepdims=True)))
 
+    def likeliest_scale(self, evidence: np.ndarray, truth: np.ndarray) -> float:
+        """The scale that gives the labels of held-out documents the greatest likelihood."""
+
+        def loss(x: float) -> float:
+            z = self.prior + x * evidence
+            z = z - z.max(1, keepdims=True)
+            return float((np.log(np.exp(z).sum(1)) - z[np.arange(len(truth)), truth]).sum())
+
+        return min(SCALES, key=loss)
+
     def evidence(self, ids: list[int]) -> np.ndarray:
         if not ids:
             return np.zeros(len(self.sources))
@@ -97,6 +86,32 @@ def _sized(path_bytes):
     return run
 
 
+def _fitted(labelled: DataFrame, names: list[str]) -> Classifier:
+    """The classifier of the labelled sample, from whole texts: ids are counted by source where they are, so that FEATURES
+    numbers a source, and the evidence of the held-out fifth, reach the driver."""
+    spark, k = labelled.sparkSession, len(names)
+    rows = labelled.select(F.array_position(F.array(*map(F.lit, names)), F.col("source")).alias("n"), (F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(5)) == 4).alias("held"), "ids").withColumn("n", F.col("n").cast("int") - 1)
+    counts, documents = np.zeros((2, k, FEATURES)), np.zeros((2, k))
+    got = rows.select("n", "held", F.explode("ids").alias("id")).groupBy("n", "held", F.pmod("id", F.lit(FEATURES)).alias("f")).agg(F.count("*").alias("c")).toArrow()
+    counts[got["held"].to_numpy().astype(int), got["n"].to_numpy(), got["f"].to_numpy()] = got["c"].to_numpy()
+    for r in rows.groupBy("n", "held").agg(F.count("*").alias("c")).collect():
+        documents[int(r["held"]), r["n"]] = r["c"]
+    model = Classifier.counted(names, documents.sum(0), counts.sum(0))
+    model.scale = 0.0
+    if documents.sum(1).all():
+        part = Classifier.counted(names, documents[0], counts[0])
+        shared = spark.sparkContext.broadcast(part)
+
+        def weigh(batches):
+            for batch in batches:
+                evidence = [shared.value.evidence(x).tolist() for x in batch.column("ids").to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column("n"), pa.array(evidence, pa.list_(pa.float64()))], ["n", "evidence"])
+
+        held = rows.filter("held").select("n", "ids").mapInArrow(weigh, "n int, evidence array<double>").collect()
+        model.scale = part.likeliest_scale(np.array([r["evidence"] for r in held]), np.array([r["n"] for r in held]))
+    return model
+
+
 def memberships(documents: DataFrame, path: str = bpe.VOCABULARY, sample: int = LABELLED_SAMPLE) -> tuple[DataFrame, list[str], Classifier]:
     """``(doc_id, tokens, domain, posterior)``, the sources' names in the order of domains, and the classifier.
 
@@ -114,9 +129,7 @@ def memberships(documents: DataFrame, path: str = bpe.VOCABULARY, sample: int =
     file = spark.sparkContext.broadcast(Path(path).read_bytes())
     kind = dict(documents.dtypes)["doc_id"]
     sized = materialize(wanted.mapInArrow(_sized(file), f"doc_id {kind}, source string, labelled boolean, tokens long, ids array<int>"), "sized")
-    number = {x: i for i, x in enumerate(names)}
-    got = sorted(sized.filter("labelled").select("doc_id", "source", F.slice("ids", 1, 2000).alias("ids")).collect(), key=lambda r: str(r["doc_id"]))  # the bounded sample
-    model = Classifier.fit(names, np.array([number[r["source"]] for r in got], int), [r["ids"] for r in got]) if names else Classifier([], np.zeros(0), np.zeros((0, FEATURES)))
+    model = _fitted(sized.filter("labelled"), names) if names else Classifier([], np.zeros(0), np.zeros((0, FEATURES)))
     shared = spark.sparkContext.broadcast(model)
 
     def guess(batches):
