@@ -84,3 +84,21 @@ def test_annealing_beats_its_start():
     start = group_split._hashed(rnd.integers(-(2**63), 2**63 - 1, 300), np.array([0.7, 0.15, 0.15]))
     off = lambda s: np.abs(np.array([[sizes[(labels == k) & (s == j)].sum() for j in range(3)] for k in range(4)]) - targets).sum()
     assert off(group_split.anneal(sizes, labels, start, targets, 1)) < 0.2 * off(start) and day(0)
+
+
+def test_steps_of_annealing_grow_with_the_components(monkeypatch):
+    n, proposed = 900, []
+    make = np.random.default_rng
+
+    class Counted:
+        def __init__(self, seed):
+            self.random_, self.random = make(seed), make(seed).random
+
+        def integers(self, low, high, size):
+            if high == n:
+                proposed.append(size)
+            return self.random_.integers(low, high, size)
+
+    monkeypatch.setattr(np.random, "default_rng", Counted)
+    group_split.anneal(np.ones(n), np.zeros(n, int), np.zeros(n, int), np.array([[630.0, 135.0, 135.0]]), 1)
+    assert len(proposed) == 2 * (300 + 10 * n)
