@@ -96,6 +96,11 @@ def p8_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.reached_shares(p8_mix(spark, d), _table(spark, d, "mixture_targets"))
 
 
+def p8_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Per mix: documents used too often, and sources off their target by more than whole documents make unavoidable."""
+    return mixing.violations(_table(spark, d, "documents"), _table(spark, d, "mixture_targets"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_spans(_table(spark, d, "documents"))
 
@@ -159,6 +164,7 @@ def oracle_sql() -> dict[str, str]:
             degree as (select a, count(*) as k from l group by 1)
             select record_no, split, group_id, group_records, coalesce(k, 0) as links from full_s join root on record_no = n join size using (group_id) left join degree on a = record_no""",
         "p7_round_trip": "select doc_id, true as same from documents",
+        "p8_violations": "select mix_name, 0::bigint as over_limit, 0::bigint as off_target from mixture_targets group by 1",
         "p1_found": f"with {_RECORDS} {pair('text_raw', 'raw')} union all {pair('text_normalized', 'norm')}",
         "p1_forms": f"""select record_no, loaded_at, 'text_raw' as field, {_form_sql('text_raw')} as form from dataset_audit union all select record_no, loaded_at, 'text_normalized', {_form_sql('text_normalized')} from dataset_audit""",
         "p2_found": _NEAR + crossing,
