@@ -49,14 +49,83 @@ def test_thresholds_and_shards(spark, t):
     df = audit(spark, rows)
     from voxloom.llm.word_sets import classes_and_members, set_rows
 
-    classes, members = classes_and_members(set_rows(df, 10))
+    classes, members = classes_and_members(set_rows(df, 10, texts=True))
     number = {r.cid: r.record_no for r in members.groupBy("cid").agg({"record_no": "min"}).withColumnRenamed("min(record_no)", "record_no").collect()}
     sets = {r.cid: (r.train, r.evaluation, set(r.seq)) for r in classes.collect()}
     want = {(a, b) for a, x in sets.items() for b, y in sets.items() if x[0] and y[1] and len(x[2] & y[2]) * t.denominator >= t.numerator * len(x[2] | y[2])}
-    got = cross_split.class_pairs(classes, t, shard_records=7).collect()
+    got = cross_split.class_pairs(classes, t, shard_words=120).collect()
     assert {(r.a, r.b) for r in got} == want and len(got) == len(want) and number
     for r in got:
-        assert r.shared == len(sets[r.a][2] & sets[r.b][2]) and 1 <= r.matches <= r.shared and r.longest <= r.size_a
+        assert r.shared == len(sets[r.a][2] & sets[r.b][2])
+
+
+def runs(a, b):
+    """All maximal runs of two or more words that two texts share, tried out."""
+    out = []
+    for i in range(len(a)):
+        for j in range(len(b)):
+            n = 0
+            while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                n += 1
+            if n >= 2 and not (i and j and a[i - 1] == b[j - 1]):
+                out.append((i, j, n))
+    return sorted(out)
+
+
+def test_spans_are_those_of_the_texts(spark):
+    from voxloom.llm.word_sets import classes_and_members, set_rows
+
+    rows = collection(7, 120) + [(900, "train", " ".join(["a", "b", "a", "b"] + [f"r{i}" for i in range(12)] + ["a", "b"])), (901, "test", " ".join(["a", "b", "x"] + [f"r{i}" for i in range(12)] + ["b", "a", "b"]))]
+    classes, _ = classes_and_members(set_rows(audit(spark, rows), 10, texts=True))
+    texts = {r.cid: r.words for r in classes.collect()}
+    got = cross_split.class_pairs(classes).collect()
+    assert len(got) > 20 and any(len(r.spans) > 1 for r in got)
+    for r in got:
+        a, b = texts[r.a], texts[r.b]
+        every = runs(a, b)
+        assert r.matches == len(every) and r.longest == max((n for *_, n in every), default=0)
+        spans_, last = [], None
+        for i, j, n in every:
+            if last and 0 <= i - (last[0] + last[2]) <= cross_split.GAP and 0 <= j - (last[1] + last[2]) <= cross_split.GAP:
+                spans_[-1] = (spans_[-1][0], i + n, spans_[-1][2], j + n, spans_[-1][4] + n)
+            else:
+                spans_.append((i, i + n, j, j + n, n))
+            last = (i, j, n)
+        assert [tuple(x) for x in r.spans] == spans_
+
+
+def test_many_shards_read_training_once(spark):
+    from voxloom.llm.word_sets import classes_and_members, set_rows
+
+    rows = collection(11, 200)
+    classes, _ = classes_and_members(set_rows(audit(spark, rows), 10, texts=True))
+    one, many = cross_split.class_pairs(classes), cross_split.class_pairs(classes, shard_words=40)
+    assert cross_split.build_index(classes.filter("evaluation"), 40)[1] >= 20
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and plan.count("FileScan") == 1 and "Union" not in plan
+    key = lambda df: sorted(tuple(map(str, r)) for r in df.collect())
+    assert key(one) == key(many)
+
+
+def test_a_stored_index_is_smaller_than_its_text():
+    rnd = np.random.default_rng(1)
+    vocabulary = [f"word{i:04d}" for i in range(3000)]
+    lengths = rnd.integers(10, 40, 4000)
+    flat = np.minimum(rnd.zipf(1.3, lengths.sum()) - 1, 2999)
+    index = FMIndex(np.arange(4000), flat * 7919, lengths)
+    text = sum(len(vocabulary[w]) + 1 for w in flat)
+    assert len(index.dump()) < 0.6 * text
+    back = FMIndex.load(index.dump()).unpack()
+    assert (back.vocabulary[back.symbols - 1] == flat * 7919).all()
+    offsets = np.concatenate(([0], np.cumsum(lengths)))
+    suffix = [tuple(back.symbols[offsets[d] + a : offsets[d + 1]]) for d, a in zip(back.doc[-2000:], back.at[-2000:], strict=True)]
+    assert all(x <= y or y == x[: len(y)] for x, y in zip(suffix, suffix[1:], strict=False))
+
+
+def test_a_very_long_text_is_unpacked_from_its_samples():
+    flat = np.arange(200_000) % 977 * 31 + np.arange(200_000) // 50_000
+    index = FMIndex.load(FMIndex(np.arange(2), np.append(flat, 5), np.array([200_000, 1])).dump()).unpack()
+    assert (index.vocabulary[index.symbols - 1] == np.append(flat, 5)).all()
 
 
 def test_counts_and_emptiness(spark):
@@ -86,7 +155,7 @@ def test_components_of_a_long_chain(spark):
 def test_index_counts_every_substring():
     rnd = np.random.default_rng(1)
     docs = [np.sort(rnd.choice(40, rnd.integers(1, 15), replace=False)).astype(np.int64) for _ in range(60)]
-    index = FMIndex.load(FMIndex(np.arange(60) * 3, np.concatenate(docs), np.array([len(d) for d in docs])).dump())
+    index = FMIndex.load(FMIndex(np.arange(60) * 3, np.concatenate(docs), np.array([len(d) for d in docs])).dump()).unpack()
     for d in docs[:20]:
         for i in range(len(d)):
             s = index.symbol_of(d[: i + 1])
@@ -100,7 +169,7 @@ def test_index_counts_every_substring():
                     assert sorted(index.doc[low[i] : high[i]].tolist()) == holders
             assert length[i] == i + 1
     assert index.symbol_of(np.array([99])).tolist() == [0]
-    assert spans(np.array([3, 10]), np.array([2, 0])).tolist() == [3, 4] and len(FMIndex(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, int)).doc) == 0
+    assert spans(np.array([3, 10]), np.array([2, 0])).tolist() == [3, 4] and len(FMIndex(np.zeros(0), np.zeros(0, np.int64), np.zeros(0, int)).unpack().doc) == 0
 
 
 @pytest.mark.parametrize("j", [0.3, 0.6, 0.9])

@@ -1,7 +1,9 @@
 """A compressed full-text index over sequences of symbols (FM-index), vectorised with numpy.
 
 The Burrows-Wheeler transform is held in a wavelet matrix: one bit per symbol and level, with
-counts per 64 bits, so a backward step costs one rank per level for a whole batch of patterns.
+counts per 64 bits, so a backward step costs one rank per level for a whole batch of patterns. Besides it the index holds the
+vocabulary, the documents' lengths and the rows of every SAMPLED-th place (a sampled suffix array); from these
+:meth:`FMIndex.unpack` walks back to every other place, a few steps for all samples at once.
 """
 
 from __future__ import annotations
@@ -11,6 +13,9 @@ import pickle
 import numpy as np
 
 
+SAMPLED = 32
+
+
 def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """All integers of the ranges ``[start, start + count)``, one range after the other."""
     total = int(counts.sum())
@@ -20,24 +25,55 @@ def spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class FMIndex:
-    """Index of documents, each an ascending array of distinct 64-bit keys."""
+    """Index of documents, each an array of 64-bit keys."""
 
     def __init__(self, ids: np.ndarray, flat: np.ndarray, lengths: np.ndarray):
         self.ids, self.lengths = ids.astype(np.int64), lengths.astype(np.int32)
         self.vocabulary, inverse = np.unique(flat, return_inverse=True)
-        self.symbols = (inverse + 1).astype(np.int32)
-        self.offsets = np.concatenate(([0], np.cumsum(lengths))).astype(np.int64)
         docs, n = len(ids), len(flat) + len(ids)
         text, place = np.zeros(n, np.int64), np.arange(len(flat)) + np.repeat(np.arange(docs), lengths)
-        text[place] = self.symbols
-        ends = np.flatnonzero(text == 0)
-        doc = np.repeat(np.arange(docs), lengths + 1)
-        order = self._suffixes(text, ends, int(lengths.max(initial=0)))
-        self.doc = doc[order].astype(np.int32)
-        self.at = (order - (self.offsets[:-1] + np.arange(docs))[self.doc]).astype(np.int32)
+        text[place] = inverse + 1
+        order = self._suffixes(text, np.flatnonzero(text == 0), int(lengths.max(initial=0)))
+        row = np.empty(n, np.int32)
+        row[order] = np.arange(n)
+        self.sampled = row[self._samples()[2]]
         self._wavelet(text[order - 1].astype(np.int64))
         self.before = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=len(self.vocabulary) + 1))))
 
+    def _samples(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, place in it and place in the whole of the samples: the end of each document, and every SAMPLED-th place before."""
+        lengths = self.lengths.astype(np.int64)
+        counts = lengths // SAMPLED + 1
+        doc = np.repeat(np.arange(len(lengths)), counts)
+        at = lengths[doc] - SAMPLED * spans(np.zeros(len(counts), np.int64), counts)
+        begin = np.concatenate(([0], np.cumsum(lengths + 1)))[:-1].astype(np.int64)
+        return doc, at, begin[doc] + at
+
+    def unpack(self) -> FMIndex:
+        """Make ``doc`` and ``at`` of every row, and the documents' ``symbols``, in memory; done once where an index is loaded."""
+        lengths = self.lengths.astype(np.int64)
+        n = int(lengths.sum()) + len(lengths)
+        self.offsets = np.concatenate(([0], np.cumsum(lengths)))
+        self.symbols, self.doc, self.at = np.zeros(int(lengths.sum()), np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
+        doc, at, _ = self._samples()
+        row = self.sampled.astype(np.int64)
+        for step in range(SAMPLED):
+            self.doc[row], self.at[row] = doc, at
+            go = at > 0
+            doc, at, row = doc[go], at[go], row[go]
+            symbol, row = self._back(row)
+            at = at - 1
+            self.symbols[self.offsets[doc] + at] = symbol
+        return self
+
+    def _back(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The symbol before each row's suffix, and the row of the suffix that begins with it."""
+        i, symbol = row, np.zeros(len(row), np.int64)
+        for depth in range(self.levels):
+            bit = ((self.bits[depth][i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)
+            i, symbol = self._down(depth, bit, i), symbol * 2 + bit
+        return symbol, self.before[symbol] + i - self.begin[symbol]
+
     @staticmethod
     def _suffixes(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
         """Suffix array by prefix doubling. Each document's end counts as a symbol of its own, smaller
@@ -98,12 +134,12 @@ class FMIndex:
         base = self.before[symbol]
         return base + self.occurrences(symbol, low), base + self.occurrences(symbol, high)
 
-    def matches(self, symbols: np.ndarray, first: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def matches(self, symbols: np.ndarray, first: np.ndarray, depth: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Backward search from every place of a stream of symbols.
 
         first marks the places where a record begins. Returns, per place, the rows of the ``depth``
         symbols ending there (an empty range where they don't occur) and the length of the longest
-        match ending there.
+        match ending there, or ``most`` if that is reached.
         """
         low, high = self.before[symbols], self.before[symbols + 1]
         low = np.where(symbols == 0, 0, low)
@@ -112,7 +148,7 @@ class FMIndex:
         out = (low.copy(), high.copy()) if depth == 1 else (np.zeros_like(low), np.zeros_like(high))
         at = np.flatnonzero(length)
         low, high, done = low[at], high[at], 1
-        while len(at):
+        while len(at) and done != most:
             go = ~first[at - done + 1]
             at, low, high = at[go], low[go], high[go]
             s = symbols[at - done]
@@ -127,7 +163,8 @@ class FMIndex:
         return *out, length
 
     def dump(self) -> bytes:
-        return pickle.dumps(self.__dict__, 5)
+        """What has to be stored; nothing of :meth:`unpack`."""
+        return pickle.dumps({k: v for k, v in self.__dict__.items() if k not in ("symbols", "doc", "at", "offsets")}, 5)
 
     @classmethod
     def load(cls, blob: bytes) -> FMIndex:
