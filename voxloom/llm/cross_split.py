@@ -18,6 +18,7 @@ of the same words in another order need not share a single pair of neighbours.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from fractions import Fraction
 
 import numpy as np
@@ -30,10 +31,12 @@ from .fm_index import FMIndex, spans
 from .word_sets import classes_and_members, set_rows
 
 SHARD_WORDS = 1_500_000  # words of evaluation records per shard, as expected; a shard is stored in some 10 MB and unpacked to some 50
+SHARDS_HELD = 3  # unpacked shards a worker keeps
 HELD_WORDS = 10_000_000  # words of training records a task holds while it goes through the shards
 GAP = 3  # words between matches of one span
 LOCATED_AT_ONCE = 4_000_000
 WORDS_AT_ONCE = 1_000_000
+_held: OrderedDict = OrderedDict()
 _PAIRS = "a long, b long, shared int, size_a int, size_b int, matches int, longest int, spans array<struct<start_a: int, end_a: int, start_b: int, end_b: int, words: int>>"
 
 
@@ -70,13 +73,18 @@ def build_index(evaluation: DataFrame, shard_words: int = SHARD_WORDS) -> tuple[
 
 
 def _shard(folder: str, part: int) -> tuple[FMIndex, FMIndex] | None:
-    """The texts and sets of a shard from the shared folder."""
+    """The texts and sets of a shard from the shared folder; the last few stay with the worker for its next task."""
     import pyarrow.dataset as ds
     import pyarrow.fs as fs
 
+    if (folder, part) in _held:
+        return _held[folder, part]
     where, path = fs.FileSystem.from_uri(folder)
     found = ds.dataset(path, filesystem=where, format="parquet").to_table(columns=["texts", "sets"], filter=ds.field("part") == part)
-    return tuple(FMIndex.load(found[c][0].as_py()).unpack() for c in ("texts", "sets")) if found.num_rows else None
+    while len(_held) >= SHARDS_HELD:
+        _held.popitem(last=False)
+    _held[folder, part] = tuple(FMIndex.load(found[c][0].as_py()).unpack() for c in ("texts", "sets")) if found.num_rows else None
+    return _held[folder, part]
 
 
 def _candidates(index: FMIndex, flat: np.ndarray, lengths: np.ndarray, t: Fraction):

@@ -55,24 +55,29 @@ class FMIndex:
         n = int(lengths.sum()) + len(lengths)
         self.offsets = np.concatenate(([0], np.cumsum(lengths)))
         self.symbols, self.doc, self.at = np.zeros(int(lengths.sum()), np.int32), np.zeros(n, np.int32), np.zeros(n, np.int32)
+        before = self._transform(n)
+        back = np.empty(n, np.int32)  # the row of the suffix that begins with the symbol before
+        back[np.argsort(before, kind="stable")] = np.arange(n)
         doc, at, _ = self._samples()
         row = self.sampled.astype(np.int64)
-        for step in range(SAMPLED):
+        for _ in range(SAMPLED):
             self.doc[row], self.at[row] = doc, at
             go = at > 0
-            doc, at, row = doc[go], at[go], row[go]
-            symbol, row = self._back(row)
-            at = at - 1
-            self.symbols[self.offsets[doc] + at] = symbol
+            doc, at, row = doc[go], at[go] - 1, row[go]
+            self.symbols[self.offsets[doc] + at] = before[row]
+            row = back[row]
         return self
 
-    def _back(self, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The symbol before each row's suffix, and the row of the suffix that begins with it."""
-        i, symbol = row, np.zeros(len(row), np.int64)
-        for depth in range(self.levels):
-            bit = ((self.bits[depth][i >> 6] >> (i & 63).astype(np.uint64)) & np.uint64(1)).astype(np.int64)
-            i, symbol = self._down(depth, bit, i), symbol * 2 + bit
-        return symbol, self.before[symbol] + i - self.begin[symbol]
+    def _transform(self, n: int) -> np.ndarray:
+        """The Burrows-Wheeler transform out of the wavelet matrix: from its last order, that of the symbols, up through the levels."""
+        codes = np.argsort(self.begin, kind="stable").astype(np.int32)
+        values = np.repeat(codes, np.diff(self.before)[codes])
+        for bits, zeros in zip(reversed(self.bits), reversed(self.zeros), strict=True):
+            bit = np.unpackbits(bits.view(np.uint8), count=n, bitorder="little").astype(bool)
+            above = np.empty_like(values)
+            above[~bit], above[bit] = values[:zeros], values[zeros:]
+            values = above
+        return values
 
     @staticmethod
     def _suffixes(text: np.ndarray, ends: np.ndarray, longest: int) -> np.ndarray:
