@@ -32,9 +32,9 @@ from .word_sets import classes_and_members, set_rows
 
 SHARD_WORDS = 1_500_000  # words of evaluation records per shard, as expected; a shard is stored in some 10 MB and unpacked to some 50
 SHARDS_HELD = 3  # unpacked shards a worker keeps
-HELD_WORDS = 10_000_000  # words of training records a task holds while it goes through the shards
+HELD_WORDS = 5_000_000  # words of training records a task holds while it goes through the shards
 GAP = 3  # words between matches of one span
-LOCATED_AT_ONCE = 4_000_000
+LOCATED_AT_ONCE = 2_000_000
 WORDS_AT_ONCE = 1_000_000
 _held: OrderedDict = OrderedDict()
 _PAIRS = "a long, b long, shared int, size_a int, size_b int, matches int, longest int, spans array<struct<start_a: int, end_a: int, start_b: int, end_b: int, words: int>>"
