@@ -124,6 +124,10 @@ def test_batches_hold_the_limit(spark):
     df = spark.createDataFrame([("c", i, 30 + i % 50) for i in range(400)] + [("c", 900, 500), ("c", 901, None)], "corpus string, record_no long, audio_size long")
     got = mixture.batches(df, ["corpus"], ["record_no"], 200, 100).toPandas()
     assert len(got) == 402
+    assert len(mixture.batches(df.union(df.withColumn("record_no", F.col("record_no") + 1000)), ["corpus"], ["record_no"], 200, 100).toPandas().query("record_no < 400").merge(got, on=["corpus", "record_no", "bucket", "batch", "place"])) == 400
+    turned = mixture.batches(df, ["corpus"], ["record_no"], 200, 100, shuffle_window=10).toPandas().sort_values(["bucket", "place"])
+    first = turned[turned.bucket == 0].record_no.tolist()
+    assert first != sorted(first) and all(sorted(first[i : i + 10]) == list(range(i, i + 10)) for i in range(0, 100, 10))
     sums = got.groupby(["bucket", "batch"]).audio_size.agg(["sum", "count"])
     assert ((sums["sum"] <= 200) | (sums["count"] == 1)).all()
 

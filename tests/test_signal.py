@@ -91,3 +91,51 @@ def test_preparation(spark):
     assert [g.audio_size for g in got] == [24_000, 48_000, None, None] and got[2].error.startswith("ValueError") and got[3].error
     frames, rate, _ = S.decode_wav(np.array(got[0].audio_bytes, np.int8).tobytes())
     assert rate == 16_000 and np.abs(frames[:, 0] - np.array(SINE * 3)[8_000:32_000]).max() < 1e-3
+
+
+def test_flac_round_trip():
+    rng = np.random.default_rng(3)
+    for n in (1, 17, 4096, 4097, 70_000):
+        x = rng.uniform(-1, 1, n)
+        frames, rate, channels = S.decode_wav(S.encode_flac(x))
+        assert rate == 16_000 and channels == 1 and (frames[:, 0] * 32768 == np.round(x * 32767)).all()
+    broken = bytearray(S.encode_flac(rng.uniform(-1, 1, 5000)))
+    broken[200] ^= 1
+    with pytest.raises(ValueError, match="sum"):
+        S.decode_wav(bytes(broken))
+
+
+def test_flac_predictors():
+    """Frames put together bit by bit: predicted samples, entropy codes, a constant, and a difference of channels."""
+    from voxloom.functions import flac
+
+    rice = lambda values, k: "00" + "0000" + format(k, "04b") + "".join("0" * (u >> k) + "1" + (format(u & (1 << k) - 1, f"0{k}b") if k else "") for u in ((2 * v if v >= 0 else -2 * v - 1) for v in values))
+    two = lambda v, n: format(v & (1 << n) - 1, f"0{n}b")
+
+    def file(channels, layout, *subframes, block=4):
+        head = "".join(("111111111111100", "0", "0110", "0000", layout, "100", "0", "00000000", format(block - 1, "08b"), "00000000"))
+        body = head + "".join(subframes)
+        body += "0" * (-len(body) % 8) + "0" * 16
+        info = (16 << 16 | 16).to_bytes(4, "big") + bytes(6) + (8000 << 44 | channels - 1 << 41 | 15 << 36 | block).to_bytes(8, "big") + bytes(16)
+        return b"fLaC\x80" + len(info).to_bytes(3, "big") + info + int(body, 2).to_bytes(len(body) // 8, "big")
+
+    want = [100, 103, 101, 90]
+    fixed = "00010010" + two(100, 16) + rice([3, -2, -11], 2)
+    assert flac.decode(file(1, "0000", fixed))[0][:, 0].tolist() == want
+    linear = "01000000" + two(100, 16) + format(3, "04b") + two(1, 5) + two(2, 4) + rice([3, -2, -11], 1)  # order 1, weight 2 / 2
+    assert flac.decode(file(1, "0000", linear))[0][:, 0].tolist() == want
+    frames, rate, size = flac.decode(file(2, "1000", fixed, "00000000" + two(7, 17)))
+    assert frames.tolist() == [[w, w - 7] for w in want] and (rate, size) == (8000, 16)
+
+
+def test_samples_come_before_bytes_and_paths(spark, tmp_path):
+    (tmp_path / "a.wav").write_bytes(wav(SINE))
+    kind = "a struct<array: array<float>, sampling_rate: int, bytes: binary, path: string>"
+    rows = [(([0.5, -0.25], 2, wav(SINE), "no"),), ((None, None, wav(SINE * 2), "no"),), ((None, None, None, f"{tmp_path}/a.wav"),), ((None, None, None, f"{tmp_path}/gone.wav"),), ((None, None, None, None),), (None,)]
+    df = spark.createDataFrame(rows, kind)
+    got = [r.m for r in df.select(S.measured(S.payload(df.schema["a"].dataType, F.col("a"))).alias("m")).collect()]
+    assert [g.num_samples for g in got] == [2, 32_000, 16_000, None, None, None] and got[0].peak == 0.5 and got[3].error == "ValueError:no audio"
+    assert got[0].audio_sha256 == hashlib.sha256(wav(SINE)).hexdigest() and got[2].audio_sha256 == hashlib.sha256(wav(SINE)).hexdigest()
+    bare = spark.createDataFrame([(([0.5, -0.25], 2),)], "a struct<array: array<float>, sampling_rate: int>")
+    got = bare.select(S.measured(S.payload(bare.schema["a"].dataType, F.col("a"))).alias("m")).first().m
+    assert got.audio_sha256 == hashlib.sha256(b"2" + np.array([0.5, -0.25], "<f4").tobytes()).hexdigest()

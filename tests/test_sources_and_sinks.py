@@ -19,6 +19,15 @@ def test_csv_keeps_every_text(spark, tmp_path):
         sinks.csv_table(df, f"{tmp_path}/t", ["a"])
 
 
+def test_csv_columns_are_found_by_name(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("x,y,z\n1,2,3\n")
+    read = lambda *a: [tuple(r) for r in readers.csv_strings(spark, f"{tmp_path}/t.csv", *a).collect()]
+    assert read(["y"]) == [("2",)] and read(["z", "x"]) == [("3", "1")] and read(None, ["y"]) == [("1", "2", "3")]
+    for columns, needed in ((["y", "w"], None), (["y"], ["w"]), (None, ["w"])):
+        with pytest.raises(ValueError, match="missing: w"):
+            readers.csv_strings(spark, f"{tmp_path}/t.csv", columns, needed)
+
+
 def test_json_document(spark, tmp_path):
     path = f"{tmp_path}/g.json"
     sinks.json_document({"normalized_text": [{"members": [{"source": "é"}]}]}, path)
@@ -30,7 +39,7 @@ def test_json_document(spark, tmp_path):
 
 def test_mixture_layout(spark, tmp_path):
     df = spark.createDataFrame([(f"t{i}", [i % 100, -1], 20_000 + i, "c" if i % 3 else "d", "train" if i % 2 else "dev", "l") for i in range(500)], "text string, audio_bytes array<tinyint>, audio_size long, corpus string, split string, language string")
-    sinks.mixture(df, f"{tmp_path}/m", rows_per_file=20, salt=2)
+    sinks.mixture(df, f"{tmp_path}/m", rows_per_file=20, rows_per_task=60)
     back = readers.mixture(spark, f"{tmp_path}/m")
     assert back.count() == 500 and dict(back.dtypes)["audio_bytes"] == "array<tinyint>"
     plan = back.filter("split = 'dev' and audio_size <= 20100").select("audio_size")._jdf.queryExecution().toString()

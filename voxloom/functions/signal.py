@@ -11,7 +11,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.functions import PandasUDFType
+from pyspark.sql.types import BinaryType, StringType, StructType
+
+from . import flac
 
 SAMPLE_RATE = 16_000
 DECODED = "samples array<float>, sample_rate int, channels int, error string"
@@ -97,7 +100,10 @@ def sample_fingerprint(samples: Column, rate: Column) -> Column:
 
 
 def decode_wav(data: bytes) -> tuple[np.ndarray, int, int]:
-    """Frames by channels in [-1, 1), the rate and the channels of PCM audio; other formats need soundfile."""
+    """Frames by channels in [-1, 1), the rate and the channels of PCM and FLAC audio; other formats need soundfile."""
+    if data[:4] == b"fLaC":
+        frames, rate, size = flac.decode(data)
+        return (frames / 2 ** (size - 1)).astype(np.float32), rate, frames.shape[1]
     if data[:4] != b"RIFF":
         import soundfile
 
@@ -179,25 +185,71 @@ def encode_wav(x: np.ndarray, rate: int = SAMPLE_RATE) -> bytes:
 
 
 def encode_flac(x: np.ndarray, rate: int = SAMPLE_RATE) -> bytes:
-    import soundfile  # an optional dependency
+    """Mono 16-bit; samples are cut to [-1, 1]."""
+    return flac.encode(np.round(np.clip(x, -1, 1) * 32767), rate)
 
-    buffer = io.BytesIO()
-    soundfile.write(buffer, np.clip(x, -1, 1), rate, format="FLAC", subtype="PCM_16")
-    return buffer.getvalue()
+
+PAYLOAD = "samples array<float>, rate int, data binary"
+
+
+def _fetched(paths: pd.Series) -> pd.Series:
+    import pyarrow.fs as fs
+
+    def read(path):
+        if path is None:
+            return None
+        try:
+            system, at = fs.FileSystem.from_uri(path)
+            with system.open_input_stream(at) as f:
+                return f.read()
+        except Exception:  # a file that isn't there is a recording that can't be decoded
+            return None
+
+    return paths.map(read)
+
+
+def payload(kind: StructType, audio: Column) -> Column:
+    """``struct`` of PAYLOAD of an audio column of bytes, or of a struct of ``array`` (with ``sampling_rate``), ``bytes`` and ``path``, of which the
+    first that is there counts. Paths, URIs that all executors reach, are read where the rows are, and only where nothing else is there."""
+    none = F.lit(None).cast("array<float>")
+    if not isinstance(kind, StructType):
+        return F.struct(none.alias("samples"), F.lit(None).cast("int").alias("rate"), audio.alias("data"))
+    names = set(kind.names)
+    samples = audio["array"].cast("array<float>") if "array" in names else none
+    rate = audio["sampling_rate"].cast("int") if "sampling_rate" in names else F.lit(None).cast("int")
+    data = audio["bytes"] if "bytes" in names else F.lit(None).cast("binary")
+    if "path" in names:
+        data = F.coalesce(data, F.pandas_udf(_fetched, "binary")(F.when(samples.isNull() & data.isNull(), audio["path"])))
+    return F.struct(samples.alias("samples"), rate.alias("rate"), data.alias("data"))
+
+
+def _read(samples, rate, data) -> tuple[np.ndarray, int, int]:
+    if samples is not None:
+        return np.asarray(samples, np.float32), int(rate), 1
+    if data is None:
+        raise ValueError("no audio")
+    return decode_wav(bytes(data))
+
+
+def _parts(audio) -> list[tuple]:
+    """Samples, rate and bytes of each row of a batch: of bytes, or of a struct of PAYLOAD."""
+    if isinstance(audio, pd.DataFrame):
+        return [(s, None if pd.isna(r) else r, d) for s, r, d in zip(audio["samples"], audio["rate"], audio["data"], strict=True)]
+    return [(None, None, d) for d in audio]
 
 
 def _preparer(encode):
-    def run(data: pd.Series, start: pd.Series, end: pd.Series) -> pd.DataFrame:
+    def run(data, start, end):
         rows = []
-        for d, a, b in zip(data, start, end, strict=True):
+        for given, a, b in zip(_parts(data), start, end, strict=True):
             try:
-                frames, rate, _ = decode_wav(bytes(d))
+                frames, rate, _ = _read(*given)
                 x = resample(mono(frames), rate)
                 if not pd.isna(a):
                     x = x[round(a * SAMPLE_RATE) : round(b * SAMPLE_RATE)]
                 if not SAMPLE_RATE <= len(x) <= 40 * SAMPLE_RATE + 1:
                     raise ValueError(f"{len(x)} samples")
-                rows.append((np.frombuffer(encode(x), np.int8).tolist(), len(x), None))
+                rows.append((np.frombuffer(encode(x), np.int8), len(x), None))
             except Exception as e:  # reported with its row, so one bad recording doesn't stop a run
                 rows.append((None, None, f"{type(e).__name__}:{e}"))
         return pd.DataFrame(rows, columns=["audio_bytes", "audio_size", "error"]).astype({"audio_size": "Int64"})
@@ -205,11 +257,11 @@ def _preparer(encode):
     return run
 
 
-def prepared(data: Column, start: Column, end: Column, codec: str = "wav") -> Column:
-    """Decode, mix down, resample to 16 kHz, trim (null bounds: whole), check the length and encode:
-    ``struct(audio_bytes, audio_size, error)``. codec is wav, or flac where soundfile is installed."""
+def prepared(data: Column, start: Column, end: Column, codec: str = "flac") -> Column:
+    """Decode, mix down, resample to 16 kHz, trim (null bounds: whole), check the length and encode (flac or wav):
+    ``struct(audio_bytes, audio_size, error)``. data is bytes or a struct of PAYLOAD. Encoded bytes stay in buffers up to Arrow."""
     encode = {"wav": encode_wav, "flac": encode_flac}[codec]
-    return F.pandas_udf(_preparer(encode), "audio_bytes array<tinyint>, audio_size long, error string")(data, start, end)
+    return F.pandas_udf(_preparer(encode), "audio_bytes array<tinyint>, audio_size long, error string", PandasUDFType.SCALAR)(data, start, end)
 
 
 @F.pandas_udf(BinaryType())
@@ -222,6 +274,7 @@ def signed_to_binary_long(values: Column) -> Column:
     return _joined(values)
 
 
+# Measures of a recording, in the order of the audit table
 MEASURES = (
     "decode_ok boolean, error string, sample_rate int, channels int, num_samples long, duration_seconds double, peak double, peak_dbfs double, rms double, rms_dbfs double, "
     "clipping_fraction double, leading_silence_seconds double, trailing_silence_seconds double, silence_amplitude_threshold double, audio_sha256 string"
@@ -229,12 +282,10 @@ MEASURES = (
 _NAMES = [x.split()[0] for x in MEASURES.split(", ")]
 
 
-def measure(data: bytes | None) -> tuple:
-    """All measures of one encoded recording, in the order of MEASURES."""
+def measure(data: bytes | None, samples=None, rate: int | None = None) -> tuple:
+    """All measures of one recording, encoded or given as samples, in the order of MEASURES. Its hash is that of the bytes, if there are any."""
     try:
-        if data is None:
-            raise ValueError("no audio")
-        frames, rate, channels = decode_wav(bytes(data))
+        frames, rate, channels = _read(samples, rate, data)
         x = mono(frames).astype(np.float32)
         if rate <= 0 or not len(x) or not np.isfinite(x).all():
             raise ValueError("empty or not finite")
@@ -247,16 +298,20 @@ def measure(data: bytes | None) -> tuple:
             lead, trail = active[0] / rate, (len(x) - 1 - active[-1]) / rate
         effective = float(np.sqrt(np.mean(a * a)))
         db = lambda v: 20 * math.log10(max(v, 1e-12))
-        return (True, None, rate, channels, len(x), seconds_, top, db(top), effective, db(effective), float((a >= 0.999).mean()), lead, trail, level, hashlib.sha256(bytes(data)).hexdigest())
+        return (True, None, rate, channels, len(x), seconds_, top, db(top), effective, db(effective), float((a >= 0.999).mean()), lead, trail, level, _fingerprint(data, samples, rate))
     except Exception as e:  # a recording that can't be decoded is a result, not a failure of the job
         return (False, f"{type(e).__name__}:{e}".replace("|", "/"), *[None] * (len(_NAMES) - 2))
 
 
-def _measured(data: pd.Series) -> pd.DataFrame:
-    out = pd.DataFrame([measure(d) for d in data], columns=_NAMES)
+def _fingerprint(data, samples, rate) -> str:
+    return hashlib.sha256(bytes(data) if data is not None else str(int(rate)).encode() + np.asarray(samples, "<f4").tobytes()).hexdigest()
+
+
+def _measured(data):
+    out = pd.DataFrame([measure(d, s, r) for s, r, d in _parts(data)], columns=_NAMES)
     return out.astype({"sample_rate": "Int32", "channels": "Int32", "num_samples": "Int64", **{n: "float64" for n in _NAMES[5:14]}})
 
 
 def measured(data: Column) -> Column:
-    """``struct`` of MEASURES of encoded audio, decoded once; for recordings too long for functions per element."""
-    return F.pandas_udf(_measured, MEASURES)(data)
+    """``struct`` of MEASURES of encoded audio, or of a struct of PAYLOAD, decoded once; for recordings too long for functions per element."""
+    return F.pandas_udf(_measured, MEASURES, PandasUDFType.SCALAR)(data)

@@ -111,6 +111,22 @@ def base64_text(data: Column) -> Column:
     return F.translate(F.base64(data), "\r\n", "")
 
 
+# The kinds of files a page shows or plays
+MIME = {"wav": "audio/wav", "flac": "audio/flac", "mp3": "audio/mpeg", "ogg": "audio/ogg", "m4a": "audio/mp4", "json": "application/json", "csv": "text/csv", "txt": "text/plain"}
+
+
+def mime_of(name: Column) -> Column:
+    """The kind of a file by its ending; octets for any other."""
+    return F.coalesce(F.get(F.map_values(F.map_filter(F.create_map(*[F.lit(x) for kv in MIME.items() for x in kv]), lambda k, _: k == F.lower(F.regexp_extract(name, r"\.([A-Za-z0-9]+)$", 1)))), F.lit(0)), F.lit("application/octet-stream"))
+
+
+def html_escaped(text: Column) -> Column:
+    """Text safe in a page and in its attributes."""
+    for mark, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&#x27;")):
+        text = F.replace(text, F.lit(mark), F.lit(name))
+    return text
+
+
 def data_uri(data: Column, mime: str) -> Column:
     return F.concat(F.lit(f"data:{mime};base64,"), base64_text(data))
 

@@ -15,6 +15,7 @@ from ..session import materialize, partitions
 class Thresholds:
     """Limits of the quality flags, all exclusive but the silent peak's."""
 
+    # The limits' defaults
     shortest_seconds: float = 1.0
     longest_seconds: float = 35.0
     silent_peak: float = 1e-6
@@ -202,6 +203,11 @@ def top_rows(df: DataFrame, order: list, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def ranged(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows spread by ranges of (key, order), the range's number in ``__range``; materialised, since the ranges must stay as they are."""
+    return materialize(df.repartitionByRange(partitions(df.sparkSession), *keys, *order).withColumn("__range", F.spark_partition_id()), "positions")
+
+
 def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "position") -> DataFrame:
     """A 0-based position within each key by an explicit order.
 
@@ -209,8 +215,7 @@ def positions(df: DataFrame, keys: list[str], order: list[str], name: str = "pos
     ranges before hold: no key, however large, is numbered by one task. Only a count per key and range
     is brought together.
     """
-    spread = df.repartitionByRange(partitions(df.sparkSession), *keys, *order).withColumn("__range", F.spark_partition_id())
-    placed = materialize(spread, "positions")  # the ranges must stay as they are counted
+    placed = ranged(df, keys, order)
     before = Window.partitionBy(*keys).orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     counts = placed.groupBy(*keys, "__range").agg(F.count("*").alias("__n"))
     shifts = counts.withColumn("__shift", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")

@@ -38,8 +38,17 @@ def slices(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.cube(*keys).agg(F.count("*").alias("examples"), (F.sum("word_errors") / F.greatest(F.lit(1), F.sum("words"))).alias("wer"))
 
 
-def panel(rows: DataFrame, least: int, most: int, k: int = 2) -> DataFrame:
-    """The k rows of each corpus that come first by their audio's hash, among those of admissible length."""
+def short_corpora(rows: DataFrame, least: int, most: int, k: int = 2) -> DataFrame:
+    """``(corpus, rows)`` of corpora with fewer than k rows of admissible length."""
+    fits = F.col("audio_size").between(least, most)
+    return rows.groupBy("corpus").agg(F.count_if(fits).alias("rows")).filter(F.col("rows") < k)
+
+
+def panel(rows: DataFrame, least: int, most: int, k: int = 2, whole: bool = False) -> DataFrame:
+    """The k rows of each corpus that come first by their audio's hash, among those of admissible length. A corpus that has fewer gives those
+    it has or, with ``whole``, is an error."""
+    if whole and (short := short_corpora(rows, least, most, k).collect()):  # a row per corpus at most
+        raise ValueError(f"fewer than {k} rows: {', '.join(sorted(str(r['corpus']) for r in short))}")
     order = Window.partitionBy("corpus").orderBy("audio_sha256", "record_no")
     chosen = rows.filter(F.col("audio_size").between(least, most)).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     label = F.format_string("dev_%02d", F.row_number().over(Window.partitionBy().orderBy("corpus", "rank")))  # k rows a corpus
@@ -51,8 +60,9 @@ _POISSON = [0.36787944, 0.73575888, 0.91969860, 0.98101184, 0.99634015, 0.999405
 
 
 def _times(round_: Column, unit: str, seed: int) -> Column:
-    """How often a unit is drawn in a round: Poisson by a seeded hash, the same at every run."""
-    u = (F.pmod(F.xxhash64(F.lit(seed), round_, unit), F.lit(1_000_003)) + 0.5) / 1_000_003.0
+    """How often a unit is drawn in a round: Poisson by a seeded hash that any engine has, the same at every run."""
+    digest = F.substring(F.md5(F.concat_ws(":", F.lit(seed), round_, F.col(unit)).cast("binary")), 1, 8)
+    u = (F.conv(digest, 16, 10).cast("double") + 0.5) / 2.0**32
     return sum((F.when(u > s, 1).otherwise(0) for s in _POISSON), F.lit(0))
 
 

@@ -25,7 +25,7 @@ class Source:
 
 
 def raw_examples(df: DataFrame, s: Source, splits: tuple[str, ...] = ("train", "validation", "test"), most_per_split: int | None = None) -> DataFrame:
-    """A source's examples under common names. Audio stays encoded. ``split`` and the stored ``row_index`` must be there;
+    """A source's examples under common names. Audio, of bytes or of a struct of array, bytes and path, stays encoded. ``split`` and the stored ``row_index`` must be there;
     a missing split is an error."""
     missing = set(splits) - {r["split"] for r in df.select("split").distinct().collect()}
     if missing:
@@ -34,9 +34,7 @@ def raw_examples(df: DataFrame, s: Source, splits: tuple[str, ...] = ("train", "
     if most_per_split is not None:
         rows = rows.filter(F.col("row_index") < most_per_split)
     none = F.lit(None).cast("string")
-    data = F.col(s.audio_column)
-    if not dict(df.dtypes)[s.audio_column] == "binary":
-        data = data["bytes"]
+    data = signal.payload(df.schema[s.audio_column].dataType, F.col(s.audio_column))
     identity = text.safe_string(F.col(s.id_column) if s.id_column else none, F.concat(F.lit("row-"), F.col("row_index").cast("string")))
     speaker = text.safe_string(F.col(s.speaker_column) if s.speaker_column else none, "unknown")
     return rows.select(

@@ -10,7 +10,7 @@ from .audit import positions
 
 SAMPLE_RATE = 16_000
 
-#: Names of the splits once materialised.
+# Names of the splits once materialised
 OUTPUT_SPLITS = {"train": "train", "validation": "dev", "test": "test"}
 
 
@@ -49,17 +49,23 @@ def part_numbers(rows: DataFrame, keys: list[str], order: list[str], rows_per_pa
     return numbered.withColumn("part", F.format_string("part-%05d", F.floor(F.col("__n") / rows_per_part).cast("int"))).drop("__n")
 
 
-def batches(rows: DataFrame, keys: list[str], order: list[str], most: int, bucket_rows: int = 50_000) -> DataFrame:
+def batches(rows: DataFrame, keys: list[str], order: list[str], most: int, bucket_rows: int = 1000, shuffle_window: int | None = None, seed: int = 0) -> DataFrame:
     """Number the batches of at most ``most`` samples in all, filled greedily in the given order.
 
-    Rows spread over buckets of about ``bucket_rows`` rows by a hash of their order first, so that a hot key
-    is filled by many tasks of bounded size; a batch lies within a bucket. A row longer than ``most``
-    makes a batch of its own.
+    Rows are numbered in order within their key, and every ``bucket_rows`` following ones are a bucket that one task fills: batches don't depend on the table's size
+    and no key is one task's work. A batch lies within a bucket. A row longer than ``most`` makes a batch of its own. With a ``shuffle_window``, rows change
+    places with those of the same window of so many rows first, by a seeded hash.
     """
-    buckets = max(1, -(-rows.count() // bucket_rows))
+    kept = rows.select(*keys, *[c for c in order if c not in keys and c != "audio_size"], "audio_size")
+    placed = positions(kept, keys, order, "__at").withColumn("bucket", F.floor(F.col("__at") / bucket_rows))
+    if shuffle_window:
+        window = F.floor(F.col("__at") / shuffle_window)
+        placed = placed.withColumn("__turn", F.struct(window.alias("w"), F.xxhash64(F.lit(seed), F.col("__at")).alias("h")))
+        placed = placed.withColumn("__at", F.row_number().over(Window.partitionBy(*keys, "bucket").orderBy("__turn")))
+        placed = placed.drop("__turn")
 
     def fill(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(order, kind="stable")
+        group = group.sort_values("__at", kind="stable")
         out, number, held = [], 0, 0
         for size in group["audio_size"]:
             size = 0 if pd.isna(size) else int(size)
@@ -67,11 +73,10 @@ def batches(rows: DataFrame, keys: list[str], order: list[str], most: int, bucke
                 number, held = number + 1, 0
             held += size
             out.append(number)
-        return group.assign(batch=out)
+        return group.assign(batch=out, place=range(len(out))).drop(columns="__at")
 
-    kept = rows.select(*keys, *[c for c in order if c not in keys and c != "audio_size"], "audio_size").withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", batch long"
-    return kept.groupBy(*keys, "bucket").applyInPandas(fill, schema)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema) + ", bucket long, batch long, place long"
+    return placed.groupBy(*keys, "bucket").applyInPandas(fill, schema)
 
 
 def verification(rows: DataFrame) -> DataFrame:

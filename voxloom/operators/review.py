@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text
-from .audit import latest
+from .audit import latest, ranged
 
 
 def deciding_rows(manifest: DataFrame) -> DataFrame:
@@ -80,16 +80,44 @@ def pending_rows(manifest: DataFrame, source: str | None = None, split: str | No
 
 
 def next_pending(queue: DataFrame) -> DataFrame:
-    """Per source, for each row the following pending one in order, the first after the last."""
+    """Per source, for each row the following pending one in order, the first after the last.
+
+    Rows are looked through within ranges of (source, order); of each range only its rows and its first pending one are brought together, and the rows after its last
+    pending one take the first of a later range. So a source with half of all rows is no one task's work."""
     order = ["priority", "split", "row_index", "review_id"]
-    forth, back = Window.partitionBy("source").orderBy(*order), Window.partitionBy("source").orderBy(*[F.desc(c) for c in order])
     pending = F.when(text.safe_string(F.col("final_decision"), "") == "", F.col("review_id"))
+    placed = ranged(queue.select("source", *order, pending.alias("__p")), ["source"], order)
+    first = F.min_by("__p", F.when(F.col("__p").isNotNull(), F.struct(*order)))
+    ranges = placed.groupBy("source", "__range").agg(F.count("*").alias("__n"), first.alias("__first"))
+    by = Window.partitionBy("source").orderBy("__range")
+    later, whole = by.rowsBetween(1, Window.unboundedFollowing), by.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranges = ranges.select(
+        F.col("source").alias("__s"), F.col("__range").alias("__at"), F.coalesce(F.sum("__n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"),
+        F.coalesce(F.first("__first", ignorenulls=True).over(later), F.first("__first", ignorenulls=True).over(whole)).alias("__next"),
+    )
+    forth, back = Window.partitionBy("source", "__range").orderBy(*order), Window.partitionBy("source", "__range").orderBy(*[F.desc(c) for c in order])
     # looked at from the end, the following pending row is the last one seen: a running value, not a new frame per row
-    after = F.last(pending, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))
-    firsts = queue.withColumn("__p", pending).filter("__p is not null").groupBy(F.col("source").alias("__s")).agg(F.min_by("__p", F.struct(*order)).alias("__first"))
-    rows = queue.withColumns({"place": F.row_number().over(forth), "__after": after})
-    rows = rows.join(firsts, F.col("source").eqNullSafe(F.col("__s")), "left")
-    return rows.select("review_id", "source", "place", F.coalesce("__after", "__first").alias("next_pending"))
+    rows = placed.withColumns({"__place": F.row_number().over(forth), "__after": F.last("__p", ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, -1))})
+    rows = rows.join(ranges, F.col("source").eqNullSafe(F.col("__s")) & (F.col("__range") == F.col("__at")))
+    return rows.select("review_id", "source", (F.col("__place") + F.col("__before")).alias("place"), F.coalesce("__after", "__next").alias("next_pending"))
+
+
+def missing_audio(manifest: DataFrame, audio: DataFrame) -> DataFrame:
+    """Manifest rows whose recording isn't there."""
+    return manifest.join(audio.select("source", "split", "row_index").distinct(), ["source", "split", "row_index"], "left_anti")
+
+
+def with_audio(manifest: DataFrame, audio: DataFrame) -> DataFrame:
+    """The manifest's rows with their recordings, one each; a row without a recording is an error, found when it is read."""
+    marked = manifest.join(audio.withColumn("__there", F.lit(True)), ["source", "split", "row_index"], "left")
+    there = F.when(F.col("__there"), F.col("source")).otherwise(F.raise_error(F.concat(F.lit("no recording for "), F.concat_ws(":", "source", "split", "row_index"))))
+    return marked.withColumn("source", there).drop("__there")
+
+
+def with_bounds_of_its_kind(decision: Column, trim_start: Column, trim_end: Column, boundaries: Column, trims: tuple[str, ...], segments: tuple[str, ...]) -> list[Column]:
+    """A decision keeps the bounds its kind uses and loses the others: trims of decisions in ``trims``, cut points of those in ``segments``."""
+    keep = lambda c, kinds: F.when(F.lower(F.trim(decision)).isin(*kinds), c)
+    return [keep(trim_start, trims), keep(trim_end, trims), keep(boundaries, segments)]
 
 
 def apply_decisions(rows: DataFrame, decisions: DataFrame, key: str, column: str) -> DataFrame:

@@ -6,16 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import matched_pairs, occurrences, parsed
+from .audit import ranged
 
-#: Files a complete checkpoint holds of each kind, per device.
+# Files a complete checkpoint holds of each kind, per device.
 KINDS = ("trainer", "model", "optimizer", "data_reader")
 
 
-def device_maxima(samples: DataFrame, device: str, **measures: str) -> DataFrame:
-    """The greatest of each measure per device, at least 0. Rows whose device isn't a number are ignored, and
+def device_maxima(samples: DataFrame, device: str, counted: str | None = None, **measures: str) -> DataFrame:
+    """The greatest of each measure per device, at least 0, and the number of samples under the name ``counted``, if given. Rows whose device isn't a number are ignored, and
     so are unreadable measures, each on its own."""
     valid = samples.filter(F.col(device).cast("string").rlike("^[0-9]+$"))
-    return valid.groupBy(F.col(device).cast("long").alias("device")).agg(*[F.greatest(F.lit(0.0), F.max(parsed(F.col(c).cast("string")))).alias(n) for n, c in measures.items()])
+    return valid.groupBy(F.col(device).cast("long").alias("device")).agg(*[F.greatest(F.lit(0.0), F.max(parsed(F.col(c).cast("string")))).alias(n) for n, c in measures.items()], *([F.count("*").alias(counted)] if counted else []))
 
 
 def log_metrics(log: DataFrame, text: str, pattern: str, *more: str) -> DataFrame:
@@ -30,10 +31,20 @@ def overflow_count(text: Column, phrase: str = "Overflow detected at step") -> C
 
 
 def step_history(metrics: DataFrame) -> DataFrame:
-    """Each step's metric with the change since the step before."""
-    return metrics.withColumn("change", F.col("metric") - F.lag("metric").over(Window.partitionBy("run").orderBy("step")))
+    """Each step's metric with the change since the step before.
 
+    Steps are compared within ranges of (run, step); the first of a range with the last of the range before, of which a row per run and range is kept. So
+    no run, however long, is one task's work."""
+    placed = ranged(metrics, ["run"], ["step"])
+    last = placed.groupBy("run", "__range").agg(F.max(F.struct("step", "metric")).alias("x"))
+    last = last.select(F.col("run").alias("__run"), F.col("__range").alias("__at"), F.lag("x.metric").over(Window.partitionBy("run").orderBy("__range")).alias("__before"))
+    within = Window.partitionBy("run", "__range").orderBy("step")
+    rows = placed.withColumns({"__lag": F.lag("metric").over(within), "__first": F.row_number().over(within) == 1})
+    rows = rows.join(last, F.col("run").eqNullSafe(F.col("__run")) & (F.col("__range") == F.col("__at")))
+    return rows.select(*metrics.columns, (F.col("metric") - F.when(F.col("__first"), F.col("__before")).otherwise(F.col("__lag"))).alias("change"))
 
+
+# Where files of each kind stand below a step's folder are the patterns of the next function
 def checkpoint_files(files: DataFrame) -> DataFrame:
     """``(step, kind, length)`` of the files under ``step_<number>``; temporary and other directories are left out."""
     step = F.regexp_extract("path", r"/step_([0-9]+)/", 1)
@@ -74,5 +85,12 @@ def exit_code(code: Column, complete: Column) -> Column:
     return F.when((code != 0) | complete, code).otherwise(3)
 
 
+def real_time(rows: DataFrame, seconds: str, audio_seconds: str, *keys: str) -> DataFrame:
+    """Seconds of work per second of audio, and seconds of audio a second, of all rows that have both, together."""
+    both = rows.filter(F.col(seconds).isNotNull() & F.col(audio_seconds).isNotNull())
+    s, a = F.sum(seconds), F.sum(audio_seconds)
+    return both.groupBy(*keys).agg(F.try_divide(s, a).alias("real_time_factor"), F.try_divide(a, s).alias("throughput"))
+
+
 def latency(rows: DataFrame, seconds: str, *keys: str) -> DataFrame:
     return rows.groupBy(*keys).agg(F.median(seconds).alias("median"), F.percentile(seconds, 0.95).alias("p95"), F.count("*").alias("events"))

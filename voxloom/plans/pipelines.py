@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from functools import reduce
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,11 +12,15 @@ from ..operators import audit, evaluate, ingest, mixture
 from ..session import materialize
 from ..sources import sinks
 
-FIELDS = (
-    "source dataset_id dataset_revision split row_index example_id speaker_id text_raw text_normalized text_words text_characters words_per_second text_sha256 decode_ok sample_rate channels num_samples "
-    "duration_seconds peak peak_dbfs rms rms_dbfs clipping_fraction leading_silence_seconds trailing_silence_seconds silence_amplitude_threshold audio_sha256 status preprocessing_actions review_reasons "
-    "audio_duplicate_cross_split text_duplicate_cross_split"
-).split()
+# Columns of the audit table, in their order
+FIELDS = [
+    "source", "dataset_id", "dataset_revision", "split", "row_index", "example_id",
+    "speaker_id", "text_raw", "text_normalized", "text_words", "text_characters", "words_per_second",
+    "text_sha256", "decode_ok", "sample_rate", "channels", "num_samples", "duration_seconds",
+    "peak", "peak_dbfs", "rms", "rms_dbfs", "clipping_fraction", "leading_silence_seconds",
+    "trailing_silence_seconds", "silence_amplitude_threshold", "audio_sha256", "status", "preprocessing_actions", "review_reasons",
+    "audio_duplicate_cross_split", "text_duplicate_cross_split",
+]
 
 
 def _rows(df: DataFrame) -> list[dict]:
@@ -36,9 +39,7 @@ def audit_run(sources: list[tuple[DataFrame, ingest.Source]], folder: str, limit
     inventory = text.character_inventory(rows, "text_raw", "source").withColumn("form", F.lit("raw")).unionByName(text.character_inventory(rows, "text_normalized", "source").withColumn("form", F.lit("normalized")))
     sinks.json_lines(text.describe_characters(inventory).orderBy("source", "form", "character"), f"{folder}/characters")
     summary = {"totals": _rows(audit.totals(rows))[0], "groups": _rows(audit.group_summary(rows).orderBy("source", "split")), "reasons": _rows(audit.item_histogram(rows, F.col("review_reasons"), "source", "split"))}
-    local = folder.removeprefix("file://")
-    if Path(local).is_dir():
-        sinks.json_document(summary, f"{local}/summary.json")
+    sinks.json_document(summary, f"{folder}/summary.json")
     return rows
 
 

@@ -49,6 +49,21 @@ def materialized_path(df: DataFrame, name: str) -> str:
     return path
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text as one file of whatever file system the path names: whole or not at all, and never over another."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(where):
+        raise FileExistsError(path)
+    part = where.suffix(f".{uuid.uuid4().hex}.part")
+    out = system.create(part, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if not system.rename(part, where):
+        system.delete(part, False)
+        raise FileExistsError(path)
+
+
 @atexit.register
 def clean() -> None:
     """Remove what this process has written to the shared folder."""

@@ -28,12 +28,13 @@ def capped(df: DataFrame, n: int) -> DataFrame:
 
 
 def csv_strings(spark: SparkSession, path: str, columns: list[str] | None = None, needed: list[str] | None = None) -> DataFrame:
-    """A CSV manifest with all columns as text, quoted line ends included; blank cells are ''."""
-    if columns:
-        df = spark.read.options(**CSV).schema(", ".join(f"`{c}` string" for c in columns)).csv(path)
-    else:
-        df = spark.read.options(**CSV).option("inferSchema", "false").csv(path)
-    return require_columns(df, needed or []).fillna("")
+    """A CSV manifest with all columns as text, quoted line ends included; blank cells are ''.
+
+    Columns are found by the names in the header, in whatever order they stand there; ``columns`` chooses some of them, and those that it or ``needed``
+    names and the file lacks are an error. Files of other headers than the first are an error, too."""
+    df = spark.read.options(**CSV).options(inferSchema="false", enforceSchema="false").csv(path)
+    df = require_columns(df, [*(needed or []), *(columns or [])])
+    return (df.select(*[f"`{c}`" for c in columns]) if columns else df).fillna("")
 
 
 def json_document(spark: SparkSession, path: str) -> DataFrame:
