@@ -61,8 +61,7 @@ def encode(samples: np.ndarray, rate: int) -> bytes:
 
 class _Bits:
     def __init__(self, data: bytes):
-        bits = np.unpackbits(np.frombuffer(data, np.uint8))
-        self.data, self.at, self.ones, self.next = data, 0, np.flatnonzero(bits).tolist(), 0
+        self.data, self.at, self.ones, self.next = data, 0, None, 0
 
     def take(self, n: int) -> int:
         if not n:
@@ -77,8 +76,21 @@ class _Bits:
         x = self.take(n)
         return x - (1 << n) if n and x >> (n - 1) else x
 
+    def many(self, count: int, size: int) -> np.ndarray:
+        """Signed numbers of one size."""
+        a, b = self.at, self.at + count * size
+        if b > 8 * len(self.data):
+            raise ValueError("the file ends within a frame")
+        self.at = b
+        bits = np.unpackbits(np.frombuffer(self.data[a >> 3 : b + 7 >> 3], np.uint8))[a & 7 :][: count * size].reshape(count, size)
+        weights = np.int64(1) << np.arange(size - 1, -1, -1, dtype=np.int64)
+        weights[0] = -weights[0]
+        return bits @ weights
+
     def zeros(self) -> int:
         """How many zeros stand before the next one, which is taken, too."""
+        if self.ones is None:
+            self.ones = np.flatnonzero(np.unpackbits(np.frombuffer(self.data, np.uint8))).tolist()
         while self.next < len(self.ones) and self.ones[self.next] < self.at:
             self.next += 1
         n = self.ones[self.next] - self.at
@@ -111,7 +123,7 @@ def _subframe(bits: _Bits, block: int, size: int) -> np.ndarray:
     if kind == 0:
         return np.full(block, bits.signed(size) << wasted, np.int64)
     if kind == 1:
-        return np.array([bits.signed(size) for _ in range(block)], np.int64) << wasted
+        return bits.many(block, size) << wasted
     if 8 <= kind <= 12:
         order, shift, weights = kind - 8, 0, _FIXED[kind - 8]
         out = [bits.signed(size) for _ in range(order)]

@@ -238,6 +238,19 @@ def _parts(audio) -> list[tuple]:
     return [(None, None, d) for d in audio]
 
 
+CODECS = {"wav": encode_wav, "flac": encode_flac}
+
+
+def encoded(samples: Column, rate: int, codec: str = "flac") -> Column:
+    """Mono 16-bit audio of an array of samples, null for null."""
+    encode = CODECS[codec]
+
+    def run(given: pd.Series) -> pd.Series:
+        return given.map(lambda s: None if s is None else encode(np.asarray(s, np.float64), rate))
+
+    return F.pandas_udf(run, "binary")(samples)
+
+
 def _preparer(encode):
     def run(data, start, end):
         rows = []
@@ -260,8 +273,7 @@ def _preparer(encode):
 def prepared(data: Column, start: Column, end: Column, codec: str = "flac") -> Column:
     """Decode, mix down, resample to 16 kHz, trim (null bounds: whole), check the length and encode (flac or wav):
     ``struct(audio_bytes, audio_size, error)``. data is bytes or a struct of PAYLOAD. Encoded bytes stay in buffers up to Arrow."""
-    encode = {"wav": encode_wav, "flac": encode_flac}[codec]
-    return F.pandas_udf(_preparer(encode), "audio_bytes array<tinyint>, audio_size long, error string", PandasUDFType.SCALAR)(data, start, end)
+    return F.pandas_udf(_preparer(CODECS[codec]), "audio_bytes array<tinyint>, audio_size long, error string", PandasUDFType.SCALAR)(data, start, end)
 
 
 @F.pandas_udf(BinaryType())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import audit_queries, run_queries, text_queries  # noqa: F401  they register themselves
+from . import audit_queries, file_queries, run_queries, text_queries  # noqa: F401  they register themselves
 from .registry import query
 
 

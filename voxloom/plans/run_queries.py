@@ -50,9 +50,13 @@ def wer_slices(spark, d):
     return evaluate.slices(_scored(spark, d), "corpus", "split").withColumn("wer", F.round("wer", 6))
 
 
-@query()
+_DRAWN = " + ".join(f"(u > {x})::int" for x in evaluate._POISSON)
+
+
+@query(f"""select corpus, round(quantile_cont(wer, 0.025), 6) as low, round(quantile_cont(wer, 0.975), 6) as high from (select corpus, round, sum(word_errors * times)::double / greatest(1, sum(words * times)) as wer
+    from (select corpus, round, word_errors, words, {_DRAWN} as times from (select *, (('0x' || substr(md5('7:' || round || ':' || record_no), 1, 8))::bigint + 0.5) / 4294967296.0 as u from {SCORED}, range(1, 201) t(round))) group by 1, 2) group by 1""")
 def wer_intervals(spark, d):
-    return evaluate.bootstrap(_scored(spark, d), "corpus", "record_no")
+    return evaluate.bootstrap(_scored(spark, d), "corpus", "record_no").withColumns({c: F.round(c, 6) for c in ("low", "high")})
 
 
 @query()
@@ -145,8 +149,7 @@ def sample_hashes(spark, d):
 @query("select user_id as device, greatest(0.0, max(value)) as highest, count(*) as samples from events group by 1")
 def telemetry_maxima(spark, d):
     e = parquet(spark, d, "events")
-    maxima = telemetry.device_maxima(e, "user_id", highest="value")
-    return maxima.join(e.groupBy(F.col("user_id").alias("device")).agg(F.count("*").alias("samples")), "device")
+    return telemetry.device_maxima(e, "user_id", "samples", highest="value")
 
 
 @query("select user_id as device, greatest(0.0, max(value)) as highest from events group by 1")

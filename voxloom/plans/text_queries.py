@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import audit, review, telemetry
+from ..operators import audit, review
 from ..session import scratch_path
 from ..sources.readers import parquet
 from .registry import query
@@ -79,19 +79,6 @@ def fixed_decimals(spark, d):
     return parquet(spark, d, "dataset_audit").select("record_no", "loaded_at", T.three_decimals(F.col("duration_seconds")).alias("seconds"), T.three_decimals(F.col("words_per_second")).alias("per_second"))
 
 
-LOG = """step 50 | validation
-wer: 38.25
-Overflow detected at step 13
-step 100 | validation wer: 35.5
-Overflow detected at step 15"""
-
-
-@query("select * from (values (50::bigint, 38.25::double, 2), (100::bigint, 35.5::double, 2)) t(step, metric, overflows)")
-def log_extract(spark, d):
-    log = spark.createDataFrame([(LOG,)], "value string").withColumn("overflows", telemetry.overflow_count(F.col("value")))
-    return telemetry.log_metrics(log, "value", r"step (\d+) \| validation\s+wer:\s*([\d.]+)", "overflows")
-
-
 @query("""select review_id, reviewed_at, len(c)::int as cuts, coalesce(len(c) > 0 and len(list_filter(c, lambda x: x is null or not (x > 0 and x < dur))) = 0 and list_sort(list_distinct(c)) = c, false) as valid
     from (select review_id, reviewed_at, try_cast(duration_seconds as double) as dur, list_transform(list_filter(string_split(coalesce(segment_boundaries_seconds, ''), ','), lambda x: trim(x) <> ''),
     lambda x: case when regexp_full_match(trim(x), '[0-9]+(\\.[0-9]*)?') then try_cast(trim(x) as double) end) as c from decision_manifest_reviewed)""")
