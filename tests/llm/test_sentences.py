@@ -175,3 +175,10 @@ def test_whole_tables(spark):
     assert S.sentence_spans(documents(spark, rows).filter("false")).count() == 0
     numbered = S.sentence_rows(documents(spark, rows[:1])).orderBy("n").collect()
     assert [(r.n, r.sentence) for r in numbered] == [(1, "A b."), (2, "C d.")]
+
+
+def test_violations_see_them(spark):
+    docs = documents(spark, [(1, "A b. C d.", "s"), (2, None, "s"), (3, "One two", "s")])
+    spans = spark.createDataFrame([(1, 0, 4), (1, 3, 9), (3, 0, 4)], "doc_id long, start_at long, end_at long")
+    assert tuple(S.violations(docs, spans).first()) == (3, 1, 1, 2)
+    assert tuple(S.violations(docs, S.sentence_spans(docs)).first()) == (3, 0, 0, 0)

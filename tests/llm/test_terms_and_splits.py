@@ -1,6 +1,7 @@
 from collections import Counter
 
 import numpy as np
+import pytest
 import pyarrow as pa
 from data import audit, day, one_form
 from hypothesis import given, settings
@@ -71,6 +72,23 @@ def test_grouped_split(spark):
     assert group_split.grouped_split(audit(spark, rows).filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("components", [100, 400])
+def test_many_buckets_come_as_near(spark, monkeypatch, components):
+    """Buckets aim at the same shares apart from each other; what they lose by it is stated here for five and more of them."""
+    monkeypatch.setattr(group_split, "BUCKET_COMPONENTS", components)
+    rows = [(i, "train", "t", None, f"s{i % 3}", f"sp{i // 2 if i % 5 else i // 40}", 5.0, 0) for i in range(4000)]
+    out = group_split.grouped_split(audit(spark, rows))
+    assert out.select("component").distinct().count() > 5 * components
+    got = out.toPandas()
+    assert abs((got.split == "train").mean() - 0.7) < 0.005 and got.groupby("source").split.apply(lambda s: abs((s == "train").mean() - 0.7)).max() < 0.01
+    assert {(r.records > 0, r.cut) for r in group_split.violations(out).collect()} == {(True, 0)}
+
+
+def test_violations_see_cut_components(spark):
+    df = spark.createDataFrame([(1, "a", "x", "train"), (2, "a", "x", "test"), (3, "a", "y", "test"), (4, "b", "z", "validation")], "record_no long, source string, component string, split string")
+    assert sorted(tuple(r) for r in group_split.violations(df).collect()) == [("a", 3, 1), ("b", 1, 0)]
+
+
 def test_a_speaker_with_most_rows_stays_whole(spark):
     rows = [(i, "train", "t", None, "s", "big" if i < 400 else f"x{i}", 5.0, 0) for i in range(1000)]
     out = group_split.grouped_split(audit(spark, rows)).toPandas()

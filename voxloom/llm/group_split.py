@@ -64,11 +64,21 @@ def records_with_speakers(audit: DataFrame, *more: str) -> DataFrame:
     return latest.join(speakers(latest), ["source", "code"], "left")
 
 
+def records_with_components(audit: DataFrame) -> DataFrame:
+    """As :func:`records_with_speakers`, with the ``component`` that has to stay together: a speaker of a source, or one record without a speaker."""
+    speaker, record = F.concat_ws(":", F.lit("s"), "source", "speaker"), F.concat_ws(":", F.lit("r"), F.col("record_no").cast("string"))
+    return records_with_speakers(audit).withColumn("component", F.when(F.col("speaker").isNotNull(), speaker).otherwise(record))
+
+
+def crossing(rows: DataFrame) -> DataFrame:
+    """Rows of validation and test whose component has rows in train."""
+    trained = rows.filter("split = 'train'").select("component").distinct()
+    return rows.filter("split in ('validation', 'test')").join(trained, "component", "left_semi")
+
+
 def leaking_records(audit: DataFrame) -> DataFrame:
-    """``record_no`` of validation and test records whose speaker also has a training record."""
-    rows = records_with_speakers(audit).filter("speaker is not null").select("record_no", "source", "speaker", "split")
-    trained = rows.filter("split = 'train'").select("source", "speaker").distinct()
-    return rows.filter("split in ('validation', 'test')").join(trained, ["source", "speaker"], "left_semi").select("record_no")
+    """``record_no`` of validation and test records whose speaker also has a training record: the components that the present splits cut."""
+    return crossing(records_with_components(audit).filter("speaker is not null")).select("record_no")
 
 
 def anneal(sizes: np.ndarray, labels: np.ndarray, start: np.ndarray, targets: np.ndarray, seed: int, steps: int | None = None) -> np.ndarray:
@@ -153,9 +163,7 @@ def grouped_split(audit: DataFrame, shares: tuple[float, ...] = SHARES, names: t
     annealed apart. A component larger than a split's share makes that split too large by it: groups
     stay whole. The result depends on the data only.
     """
-    rows = records_with_speakers(audit)
-    key = F.when(F.col("speaker").isNotNull(), F.concat_ws(":", F.lit("s"), "source", "speaker")).otherwise(F.concat_ws(":", F.lit("r"), F.col("record_no").cast("string")))
-    rows = rows.withColumn("component", key)
+    rows = records_with_components(audit)
     counted = rows.groupBy("component").agg(F.count("*").alias("records"), F.first("source").alias("label")).withColumn("h", F.xxhash64("component"))
     parts = materialize(counted, "components")
     by_label = {r["label"]: (r["records"], r["components"]) for r in parts.groupBy("label").agg(F.sum("records").alias("records"), F.count("*").alias("components")).collect()}
@@ -175,6 +183,12 @@ def grouped_split(audit: DataFrame, shares: tuple[float, ...] = SHARES, names: t
     return rows.withColumnRenamed("split", "old_split").join(placed.union(rest), "component").select("record_no", "source", "component", "old_split", name.alias("split"))
 
 
+def violations(assigned: DataFrame) -> DataFrame:
+    """``(source, records, cut)`` of an assignment: its records, and those in validation or test whose component is in train, too."""
+    found = crossing(assigned).select("record_no").withColumn("cut", F.lit(1))
+    return assigned.join(found, "record_no", "left").groupBy("source").agg(F.count("*").alias("records"), F.coalesce(F.sum("cut"), F.lit(0)).cast("long").alias("cut"))
+
+
 def split_shares(assigned: DataFrame) -> DataFrame:
     """Records and their share per split and source of an assignment."""
     counts = assigned.groupBy("source", "split").agg(F.count("*").alias("records"))

@@ -57,6 +57,11 @@ def p4_shares(spark: SparkSession, d: str) -> DataFrame:
     return group_split.split_shares(p4_split(spark, d))
 
 
+def p4_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Per source the records assigned anew, and those whose component the new splits cut."""
+    return group_split.violations(p4_split(spark, d))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_dup.near_pairs(_table(spark, d, "dataset_audit"))
 
@@ -75,6 +80,12 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return segmenting.pieces(_table(spark, d, "dataset_audit"), _table(spark, d, "decision_manifest_reviewed"))
 
 
+def p6_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces that are too long, overlap otherwise than they ought to, or leave something out."""
+    long = segmenting.long_recordings(_table(spark, d, "dataset_audit"), _table(spark, d, "decision_manifest_reviewed"))
+    return segmenting.violations(long, p6_pieces(spark, d))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encoded(_table(spark, d, "documents"))
 
@@ -105,6 +116,11 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return sentences.sentence_spans(_table(spark, d, "documents"))
 
 
+def p9_violations(spark: SparkSession, d: str) -> DataFrame:
+    """Sentences out of order or with blanks around them, and documents with letters outside all sentences."""
+    return sentences.violations(_table(spark, d, "documents"), p9_found(spark, d))
+
+
 def p9_sentences(spark: SparkSession, d: str) -> DataFrame:
     """The sentences themselves, numbered."""
     return sentences.sentence_rows(_table(spark, d, "documents"))
@@ -164,6 +180,9 @@ def oracle_sql() -> dict[str, str]:
             degree as (select a, count(*) as k from l group by 1)
             select record_no, split, group_id, group_records, coalesce(k, 0) as links from full_s join root on record_no = n join size using (group_id) left join degree on a = record_no""",
         "p7_round_trip": "select doc_id, true as same from documents",
+        "p4_violations": "select coalesce(source, '') as source, count(distinct record_no) as records, 0::bigint as cut from dataset_audit group by 1",
+        "p6_violations": "select count(*) as recordings, 0::bigint as too_long, 0::bigint as overlaps, 0::bigint as uncovered from (select distinct source, split, row_index from dataset_audit where duration_seconds > 40)",
+        "p9_violations": "select count(*) as documents, 0::bigint as overlapping, 0::bigint as blank_edges, 0::bigint as uncovered from documents",
         "p8_violations": "select mix_name, 0::bigint as over_limit, 0::bigint as off_target from mixture_targets group by 1",
         "p1_found": f"with {_RECORDS} {pair('text_raw', 'raw')} union all {pair('text_normalized', 'norm')}",
         "p1_forms": f"""select record_no, loaded_at, 'text_raw' as field, {_form_sql('text_raw')} as form from dataset_audit union all select record_no, loaded_at, 'text_normalized', {_form_sql('text_normalized')} from dataset_audit""",

@@ -510,6 +510,20 @@ def sentence_spans(documents: DataFrame, text: str = "text", key: str = "doc_id"
     return documents.select(key, text).mapInArrow(run, f"`{key}` {kind}, start_at long, end_at long")
 
 
+def violations(documents: DataFrame, spans: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``(documents, overlapping, blank_edges, uncovered)``: documents, sentences that begin before the one before ends, sentences with blanks around them, and
+    documents with characters other than blanks outside all sentences. All but the first ought to be 0."""
+    blank = r"[\s\p{Z}\x{85}\x{1C}-\x{1F}]"
+    order = F.array_sort(F.collect_list(F.struct("start_at", "end_at")))
+    both = documents.select(key, F.coalesce(text, F.lit("")).alias("__t")).join(spans.groupBy(key).agg(order.alias("__s")), key, "left").withColumn("__s", F.coalesce("__s", F.array().cast("array<struct<start_at: long, end_at: long>>")))
+    cut = F.transform("__s", lambda x: F.substr("__t", x["start_at"].cast("int") + 1, (x["end_at"] - x["start_at"]).cast("int")))
+    bare = lambda t: F.length(F.regexp_replace(t, f"(?U){blank}", ""))
+    early = F.size(F.filter("__s", lambda x, i: (i > 0) & (x["start_at"] < F.get("__s", i - 1)["end_at"])))
+    edges = F.size(F.filter(cut, lambda t: t.rlike(f"(?U)^{blank}|{blank}$")))
+    return both.select(early.alias("a"), edges.alias("b"), (bare(F.concat_ws("", cut)) != bare(F.col("__t"))).alias("c")).agg(
+        F.count("*").alias("documents"), F.coalesce(F.sum("a"), F.lit(0)).cast("long").alias("overlapping"), F.coalesce(F.sum("b"), F.lit(0)).cast("long").alias("blank_edges"), F.count_if("c").alias("uncovered"))
+
+
 def sentence_rows(documents: DataFrame, text: str = "text", key: str = "doc_id", model: Chain | None = None) -> DataFrame:
     """``(key, n, start_at, end_at, sentence)``: the sentences themselves, numbered from 1."""
     from pyspark.sql import Window
