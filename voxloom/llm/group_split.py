@@ -93,39 +93,43 @@ def anneal(sizes: np.ndarray, labels: np.ndarray, start: np.ndarray, targets: np
     if not n:
         return start
     random, chain = np.random.default_rng(seed), np.arange(CHAINS)
-    state = np.tile(start, (CHAINS, 1))
+    state = np.tile(start.astype(np.int8), (CHAINS, 1))
     held = np.zeros((CHAINS, *targets.shape))
     np.add.at(held, (chain[:, None], labels[None, :], state), sizes[None, :])
     total = max(float(targets.sum()), 1.0)
-
-    def energy(h):
-        off = (h - targets) / total
-        return (off.sum(1) ** 2).sum(-1) + 0.5 * (off**2).sum((-1, -2))
-
-    now = energy(held)
+    off, part = (held - targets) / total, sizes / total
+    sums = off.sum(1)
+    now = (sums**2).sum(-1) + 0.5 * (off**2).sum((-1, -2))
     best, best_energy = state.copy(), now.copy()
     steps = steps or 300 + 10 * n
     heat = now.max() * 0.1 + 1e-12
     for step in range(steps):
-        temperature = heat * (1 - step / steps) ** 3
+        temperature = heat * (1 - step / steps) ** 3 + 1e-300
         i, j = random.integers(0, n, CHAINS), random.integers(0, n, CHAINS)
         swap = random.random(CHAINS) < 0.5
         a = state[chain, i]
         b = np.where(swap, state[chain, j], (a + random.integers(1, k, CHAINS)) % k)
-        new = held.copy()
-        new[chain, labels[i], a] -= sizes[i]
-        new[chain, labels[i], b] += sizes[i]
-        other = np.where(swap, sizes[j], 0)
-        new[chain, labels[j], b] -= other
-        new[chain, labels[j], a] += other
-        e = energy(new)
-        take = (a != b) & ((e <= now) | (random.random(CHAINS) < np.exp(np.minimum(0, (now - e) / (temperature + 1e-300)))))
-        held[take], now = new[take], np.where(take, e, now)
-        state[chain[take], i[take]] = b[take]
-        both = take & swap
-        state[chain[both], j[both]] = a[both]
-        better = now < best_energy
-        best[better], best_energy = state[better], np.where(better, now, best_energy)
+        x, y, p, q = part[i], np.where(swap, part[j], 0.0), labels[i], labels[j]
+        m = x - y
+        # what the squares change by, if x goes from a to b and y from b to a
+        change = 2 * m * (sums[chain, b] - sums[chain, a] + m)
+        change += x * (off[chain, p, b] - off[chain, p, a] + x) + y * (off[chain, q, a] - off[chain, q, b] + y) - np.where(p == q, 2 * x * y, 0.0)
+        take = np.flatnonzero((a != b) & ((change <= 0) | (random.random(CHAINS) < np.exp(np.minimum(0, -change / temperature)))))
+        if not len(take):
+            continue
+        a, b, p, q, x, y, m = a[take], b[take], p[take], q[take], x[take], y[take], m[take]
+        sums[take, a] -= m
+        sums[take, b] += m
+        off[take, p, a] -= x
+        off[take, p, b] += x
+        off[take, q, b] -= y
+        off[take, q, a] += y
+        now[take] += change[take]
+        state[take, i[take]] = b
+        both = swap[take]
+        state[take[both], j[take[both]]] = a[both]
+        better = take[now[take] < best_energy[take] - 1e-18]
+        best[better], best_energy[better] = state[better], now[better]
     return best[int(best_energy.argmin())]
 
 
