@@ -78,11 +78,12 @@ def term_counts(audit: DataFrame, common_share: float = 0.1) -> DataFrame:
     """
     spark = audit.sparkSession
     total = audit.select("record_no").distinct().count()
-    forms = materialize(with_one_form(audit.select("record_no", "text_normalized"), "text_normalized").select("record_no", "form"), "forms")
+    forms = with_one_form(audit.select("record_no", "text_normalized"), "text_normalized")
     words = forms.select("record_no", F.array_sort(words_of(F.lower("form"))).alias("w")).filter("size(w) > 0")
     runs = words.withColumn("t", _run_lengths("w"))
     ends = F.expr("transform(t, (x, k) -> named_struct('term', x.term, 'n', coalesce(get(t, k + 1).first, size(w) + 1) - x.first))")
-    pairs = runs.select("record_no", F.explode(ends).alias("x")).select("x.term", "record_no", "x.n")
+    # written once: the bounds of the ranges are drawn from the pairs before they are sorted
+    pairs = materialize(runs.select("record_no", F.explode(ends).alias("x")).select("x.term", "record_no", "x.n"), "pairs")
     ordered = pairs.repartitionByRange(partitions(spark), "term", "record_no").sortWithinPartitions("term", "record_no")
     partial = ordered.mapInArrow(_scan, "term string, occurrences long, records long")
     counts = partial.groupBy("term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
