@@ -116,8 +116,8 @@ def class_links(classes: DataFrame, similarity: float = 0.6) -> DataFrame:
     """``(a, b, shared, n_a, n_b, estimate)``: pairs of classes with at least this Jaccard similarity, a < b.
 
     A band's rows meet in a join on its key, which adaptive execution splits where a key is
-    hot; sets of equal words are one class, so a bucket only grows with really different
-    near-duplicates, all of which are links to report.
+    hot; sets of equal words are one class, so a bucket grows with different sets only. Most that meet in a band of four registers are
+    similar, and what isn't is dropped inside the join by size and bits, before it travels.
     """
     spark = classes.sparkSession
     banded = classes.select("cid", "n", "seq").mapInArrow(_bands, "cid long, n int, bits long, bands array<long>")

@@ -109,13 +109,9 @@ def fields_in_one_form(audit: DataFrame) -> DataFrame:
     return with_one_form(audit.select("record_no", "loaded_at", two.alias("x")).select("record_no", "loaded_at", "x.*"), "text")
 
 
-def equal_looking_pairs(audit: DataFrame, least_words: int = 10) -> DataFrame:
-    """``(field, record_a, record_b)``: full records whose field is equal in the one form, stored differently.
-
-    A record's latest delivery counts. Null fields have no partners. Only keys of 16 bytes travel:
-    texts are compared by 128-bit hashes. All pairs of a form come out, copies included,
-    since the pairs are the result; forms stored in one way only are dropped before the join.
-    """
+def _form_keys(audit: DataFrame, least_words: int) -> DataFrame:
+    """``(record_no, field, f1, f2, s1, s2)`` of the fields of full records: keys of the one form and of what is stored, materialised. A record's latest
+    delivery counts."""
     f1, f2 = digest(F.col("form"))
     s1, s2 = digest(F.col("text"))
     full = (F.col("field") == "text_normalized") & (F.size(F.array_distinct(words_of(F.col("form")))) >= least_words)
@@ -128,7 +124,17 @@ def equal_looking_pairs(audit: DataFrame, least_words: int = 10) -> DataFrame:
     records = keys.groupBy("record_no").agg(latest("text_raw"), latest("text_normalized"), full_of.alias("full")).filter("full")
     two = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("key")) for c in ("text_raw", "text_normalized")]))
     rows = records.select("record_no", two.alias("x")).filter("x.key is not null").select("record_no", "x.field", "x.key.*")
-    rows = materialize(rows, "form-keys")  # read by three branches below
+    return materialize(rows, "form-keys")  # read by several branches
+
+
+def equal_looking_pairs(audit: DataFrame, least_words: int = 10) -> DataFrame:
+    """``(field, record_a, record_b)``: full records whose field is equal in the one form, stored differently.
+
+    A record's latest delivery counts. Null fields have no partners. Only keys of 16 bytes travel:
+    texts are compared by 128-bit hashes. All pairs of a form come out, copies included,
+    since the pairs are the result; forms stored in one way only are dropped before the join.
+    """
+    rows = _form_keys(audit, least_words)
     forms = (
         rows.groupBy("field", "f1", "f2")
         .agg(F.min(F.struct("s1", "s2")).alias("lo"), F.max(F.struct("s1", "s2")).alias("hi"))
@@ -139,3 +145,15 @@ def equal_looking_pairs(audit: DataFrame, least_words: int = 10) -> DataFrame:
     a = kept.withColumnsRenamed({"record_no": "record_a", "s1": "a1", "s2": "a2"})
     b = kept.withColumnsRenamed({"record_no": "record_b", "s1": "b1", "s2": "b2"})
     return a.join(b, ["field", "f1", "f2"]).filter("record_a < record_b and (a1 <> b1 or a2 <> b2)").select("field", "record_a", "record_b")
+
+
+def equal_looking_classes(audit: DataFrame, least_words: int = 10) -> DataFrame:
+    """``(field, record_no, class_id, class_records, links)``: a row for each field of a full record that others equal in the one form but not as stored.
+
+    class_id is the least record_no of those equal in the one form, class_records their number, links the number of those stored differently. Counted by stored
+    variant: however many copies a text has, no pair is made."""
+    rows, form = _form_keys(audit, least_words), ["field", "f1", "f2"]
+    variants = rows.groupBy(*form, "s1", "s2").agg(F.count("*").alias("n"), F.min("record_no").alias("least"))
+    classes = variants.groupBy(*form).agg(F.min("least").alias("class_id"), F.sum("n").alias("class_records"), F.count("*").alias("variants")).filter("variants > 1")
+    known = variants.join(classes, form).select(*form, "s1", "s2", "class_id", "class_records", (F.col("class_records") - F.col("n")).alias("links"))
+    return rows.join(known, [*form, "s1", "s2"]).select("field", "record_no", "class_id", "class_records", "links")

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, cross_split, group_split, mixing, near_dup, one_form, segmenting, sentences, term_counts
-from . import unicode_tables as tables
 
 
 def _table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -24,6 +23,11 @@ def p1_forms(spark: SparkSession, d: str) -> DataFrame:
     return one_form.fields_in_one_form(_table(spark, d, "dataset_audit")).select("record_no", "loaded_at", "field", "form")
 
 
+def p1_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Records whose fields look the same but are stored differently, by class, with their numbers of such partners."""
+    return one_form.equal_looking_classes(_table(spark, d, "dataset_audit"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     pairs = cross_split.cross_split_pairs(_table(spark, d, "dataset_audit"))
     return pairs.select(F.least("train_record", "evaluation_record").alias("record_a"), F.greatest("train_record", "evaluation_record").alias("record_b"))
@@ -133,10 +137,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # --- the same in SQL, over whole tables. Letters with a mark of their own that look like Latin ones would need
 # decomposition, which the SQL engine lacks; all else of the one form is here.
 
-_LOOKS, _LATIN = "".join(tables.LOOK_ALIKES), "".join(tables.LOOK_ALIKES.values())
-_MARKS = tables.APOSTROPHES.replace("'", "")
-_FROM = _MARKS + group_split._WIDE.replace("\uff07", "").replace("\uff40", "")
-_TO = "'" * len(_MARKS) + group_split._PLAIN.replace("'", "").replace("`", "")
+# Fixed values, stated here anew and not taken from the operators: letters that look like Latin ones (Cyrillic, Greek, Armenian), marks
+# that look like an apostrophe, and writings that stand for no speaker.
+_LOOKS = "АВЕКМНОРСТУХЅІЈԚԜҺҮԌ" "аеорсухѕіјһԁԛԝԍүӏӀ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧ" "αεικνορυϲϳ" "Օօսհցզ"
+_LATIN = "ABEKMHOPCTYXSIJQWHYG" "aeopcyxsijhdqwgylI" "ABEZHIKMNOPTYX" "aɛikvopucj" "Oouhgq"
+_MARKS = "‘’‛ʻʼʽʹ′‵`´＇｀Ꞌꞌ՚׳ߴߵ᾽᾿´`"
+_NO_SPEAKER = ["", "0", "anon", "anonyme", "anonymous", "inconnu", "inconnue", "missing", "na", "nan", "none", "null", "speaker", "tbd", "undefined", "unk", "unknown", "x", "xx", "xxx"]
+_WIDE, _PLAIN = ("".join(chr(first + i) for i in range(94)) for first in (0xFF01, 0x21))
+_FROM = _MARKS + _WIDE.replace("＇", "").replace("｀", "")
+_TO = "'" * len(_MARKS) + _PLAIN.replace("'", "").replace("`", "")
 _quoted = lambda x: "'" + x.replace("'", "''") + "'"
 _INVISIBLE = r"[\p{Cf}\x{34F}\x{FE00}-\x{FE0F}\x{180B}-\x{180F}]"
 
@@ -156,8 +165,8 @@ _NEAR = f"""with {_RECORDS}, w as (select record_no, len(ws) as n, unnest(ws) as
     join (select record_no as ra, split as sa, f as fa from full_r) y on record_a = ra) select record_a, record_b from near join (select record_no as rb, split as sb, f as fb from full_r) on record_b = rb where """
 _CODE = f"""regexp_replace(case when starts_with(p, s) and s <> '' and regexp_matches(substr(p, length(s) + 1), '^([^\\p{{L}}\\p{{N}}]|$)') then substr(p, length(s) + 1) else p end, '[^\\p{{L}}\\p{{N}}]', '', 'g')"""
 _SPEAKERS = f"""with r as (select record_no, any_value(source) as source, any_value(split) as split, lower(any_value(source)) as s,
-    regexp_replace(lower(translate(any_value(speaker_id), {_quoted(group_split._WIDE)}, {_quoted(group_split._PLAIN)})), '[\\p{{Cf}}\\s\\p{{Z}}]', '', 'g') as p from dataset_audit group by 1),
-    c as (select record_no, source, split, {_CODE} as code from r where p is not null), k as (select * from c where code not in ({", ".join(map(_quoted, group_split.PLACEHOLDERS))})),
+    regexp_replace(lower(translate(any_value(speaker_id), {_quoted(_WIDE)}, {_quoted(_PLAIN)})), '[\\p{{Cf}}\\s\\p{{Z}}]', '', 'g') as p from dataset_audit group by 1),
+    c as (select record_no, source, split, {_CODE} as code from r where p is not null), k as (select * from c where code not in ({", ".join(map(_quoted, _NO_SPEAKER))})),
     d as (select distinct source, code from k), w as (select a.source, a.code, max_by(b.code, length(b.code)) as speaker from d a join d b on a.source = b.source and starts_with(b.code, a.code) and (length(a.code) >= 12 or a.code = b.code) group by 1, 2),
     m as (select k.*, speaker from k join w using (source, code))"""
 _ITEMS = """case when regexp_matches(t, '[;|]') then regexp_split_to_array(replace(t, ',', '.'), '[;|]') else regexp_split_to_array(t, '[, ]+') end"""
@@ -167,6 +176,8 @@ _TIME = "^ *(?:(?:([0-9]+):)?([0-9]+):)?([0-9]+(?:[.][0-9]*)?) *(ms|s|sec)?[.]?
 def oracle_sql() -> dict[str, str]:
     pair = lambda field, x: f"""select '{field}' as field, a.record_no as record_a, b.record_no as record_b from (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null) a
         join (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null) b on a.g = b.g and a.record_no < b.record_no and a.t <> b.t"""
+    classes = lambda field, x: f"""select '{field}' as field, record_no, class_id, class_records, class_records - same as links from (select record_no, min(record_no) over (partition by g) as class_id,
+        count(*) over (partition by g) as class_records, count(*) over (partition by g, t) as same from (select record_no, {x} as t, {_form_sql(x)} as g from full_r where {x} is not null)) where class_records > same"""
     terms = f"""with {_RECORDS}, t as (select record_no, unnest(string_split(lower(f), ' ')) as term from r), c as (select term, count(*) as occurrences, count(distinct record_no) as records from t where term <> '' group by 1)
         select *, case when records = 1 then 'rare' when records > 0.1 * (select count(*) from r) then 'common' end as mark from c"""
     crossing = "(sa = 'train' and sb in ('validation', 'test')) or (sb = 'train' and sa in ('validation', 'test'))"
@@ -185,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
         "p9_violations": "select count(*) as documents, 0::bigint as overlapping, 0::bigint as blank_edges, 0::bigint as uncovered from documents",
         "p8_violations": "select mix_name, 0::bigint as over_limit, 0::bigint as off_target from mixture_targets group by 1",
         "p1_found": f"with {_RECORDS} {pair('text_raw', 'raw')} union all {pair('text_normalized', 'norm')}",
+        "p1_classes": f"with {_RECORDS} {classes('text_raw', 'raw')} union all {classes('text_normalized', 'norm')}",
         "p1_forms": f"""select record_no, loaded_at, 'text_raw' as field, {_form_sql('text_raw')} as form from dataset_audit union all select record_no, loaded_at, 'text_normalized', {_form_sql('text_normalized')} from dataset_audit""",
         "p2_found": _NEAR + crossing,
         "p3_terms": terms,
