@@ -61,6 +61,17 @@ def char_descriptions(spark, d):
     return T.describe_characters(T.character_inventory(parquet(spark, d, "dataset_audit"), "text_normalized"))
 
 
+# General categories of characters
+_CATEGORIES = ["Lu", "Ll", "Lt", "Lm", "Lo", "Mn", "Mc", "Me", "Nd", "Nl", "No", "Pc", "Pd", "Ps", "Pe", "Pi", "Pf", "Po", "Sm", "Sc", "Sk", "So", "Zs", "Zl", "Zp", "Cc", "Cf", "Co"]
+
+
+@query(f"""select character, printf('U+%04X', unicode(character)) as codepoint, case {" ".join(f"when regexp_full_match(character, '\\p{{{c}}}') then '{c}'" for c in _CATEGORIES)} else 'Cn' end as category
+    from (select distinct unnest(string_split(text_raw, '')) as character from dataset_audit where text_raw is not null) where not regexp_full_match(character, '[\\s\\p{{Z}}\\x85\\x1c-\\x1f]?')""")
+def char_codepoints(spark, d):
+    """Code point and category of each character; names, which SQL doesn't know, are in char_descriptions."""
+    return T.describe_characters(T.character_inventory(parquet(spark, d, "dataset_audit"), "text_raw")).select("character", "codepoint", "category")
+
+
 @query("""select item, count(*) as count from (select unnest(string_split(review_reasons, '|')) as item from dataset_audit) where trim(item) <> '' group by 1""")
 def reason_items(spark, d):
     return audit.item_histogram(parquet(spark, d, "dataset_audit"), T.listed(F.col("review_reasons")))
